@@ -3,21 +3,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from billmill.functions.text import quoted
+
 INFINITY = float("inf")
 _JAVA_ONLY = "[dDfFxX]"  # letters of 5d, 5f and 0x1p3; no plain finite number holds one
 _SPELLED_OUT = "[nN]"  # inf and infinity hold it, 1e400 does not
 
 
-def parse_number(text: Column) -> Column:
-    """Text to DOUBLE; NULL for anything that is no plain number.
+def parse_number(name: str) -> Column:
+    """The text column as DOUBLE; NULL for anything that is no plain number.
 
     Spark's cast also takes Java literals such as ``5d`` and turns ``1e400`` into Infinity; both are
     no numbers here. Infinity stays only where it is spelled out. NaN is a missing value.
     """
-    number = text.try_cast("double")
-    finite = F.abs(number) < INFINITY
-    return F.when(finite & ~text.rlike(_JAVA_ONLY), number).when(
-        (F.abs(number) == INFINITY) & text.rlike(_SPELLED_OUT), number
+    text = f"CAST({quoted(name)} AS STRING)"
+    number = f"TRY_CAST({text} AS DOUBLE)"
+    return F.expr(
+        f"""CASE WHEN abs({number}) < DOUBLE('Infinity') AND NOT {text} RLIKE '{_JAVA_ONLY}' THEN {number}
+            WHEN abs({number}) = DOUBLE('Infinity') AND {text} RLIKE '{_SPELLED_OUT}' THEN {number} END"""
     )
 
 

@@ -6,11 +6,19 @@ from pyspark.sql import functions as F
 from billmill.schema import NA_TOKENS
 
 
+def quoted(name: str) -> str:
+    """A column name for SQL text; bill columns hold spaces, ``#`` and parentheses."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col(name: str) -> Column:
-    """A column by its literal name; bill columns hold spaces, ``#`` and parentheses."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """A column by its literal name."""
+    return F.col(quoted(name))
+
+
+_TOKENS = ", ".join(f"'{token}'" for token in NA_TOKENS)
 
 
-def null_if_na(text: Column) -> Column:
-    """NULL when the cell holds one of the no-value spellings, else the text unchanged."""
-    return F.when(~text.isin(NA_TOKENS), text)
+def null_if_na(name: str) -> Column:
+    """NULL when the text column holds one of the no-value spellings, else the text unchanged."""
+    return F.expr(f"CASE WHEN {quoted(name)} NOT IN ({_TOKENS}) THEN {quoted(name)} END")

@@ -31,7 +31,7 @@ def null_na_tokens(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     texts = [
         f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name not in keep
     ]
-    return df.withColumns({name: null_if_na(col(name)) for name in texts})
+    return df.withColumns({name: null_if_na(name) for name in texts})
 
 
 def parse_bill_date(df: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
@@ -68,9 +68,7 @@ def fill_unknown(df: DataFrame) -> DataFrame:
 
 
 def coerce_measures(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {name: parse_number(col(name).cast("string")) for name in present(df, MEASURES)}
-    )
+    return df.withColumns({name: parse_number(name) for name in present(df, MEASURES)})
 
 
 def drop_empty_measures(df: DataFrame) -> DataFrame:

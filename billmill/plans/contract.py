@@ -6,7 +6,7 @@ time of day, customer type and status, rate code, description) are NULL.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,11 @@ METER_TYPE = {"meter_type_name": "Meter AMR"}
 SERVICE_CLASS = {"service_class": "Rate Class", "rate_code": None, "description": None}
 
 
+def _available(df: DataFrame, sources: Mapping[str, str | None]) -> dict[str, str | None]:
+    """The mapping without the columns that this input lacks."""
+    return {name: source if source in df.columns else None for name, source in sources.items()}
+
+
 def dim_calendar(staging: DataFrame) -> DataFrame:
     """Every day from the first to the last bill date, keyed 1, 2, 3, ... by distance from the first.
 
@@ -64,8 +69,12 @@ def dim_time(moments: DataFrame, at: str) -> DataFrame:
 
 
 def _entity(staging: DataFrame, table: str, sources: dict[str, str | None]) -> DataFrame:
+    """The distinct members of one dimension; none if the bills carry no attribute of it."""
     contract = CONTRACT[table]
     key = contract.fieldNames()[0]
+    sources = _available(staging, sources)
+    if not any(sources.values()):
+        staging = staging.limit(0)
     attributes = staging.select(
         *[
             (F.lit(None).cast("string") if source is None else col(source)).alias(name)
@@ -91,7 +100,11 @@ def dim_service_class(staging: DataFrame) -> DataFrame:
 def dim_customer(staging: DataFrame) -> DataFrame:
     """One row per account. Its borough is given only where all its bills agree on one."""
     contract = CONTRACT["dim_customer"]
-    first, last = F.min("Borough"), F.max("Borough")
+    if "Account Name" not in staging.columns:
+        staging = staging.withColumn("Account Name", F.lit(None).cast("string")).limit(0)
+    first = last = F.lit(None).cast("string")
+    if "Borough" in staging.columns:
+        first, last = F.min("Borough"), F.max("Borough")
     accounts = staging.groupBy(col("Account Name").alias("customer_id")).agg(
         F.when(first == last, first).alias("borough")
     )
@@ -112,11 +125,18 @@ def fact_rows(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """One fact per bill with the keys of its dimensions, before the fact's own key."""
-    dates = calendar.select(F.col("date_key"), F.col("calendar_date"))
-    facts = lookup_key(staging, dates, "date_key", {"calendar_date": STD_DATE})
-    facts = lookup_key(facts, location, "location_key", LOCATION)
-    facts = lookup_key(facts, meter_type, "meter_type_key", METER_TYPE)
-    facts = lookup_key(facts, service_class, "service_key", SERVICE_CLASS)
+    facts = staging
+    for key, dimension, sources in (
+        ("date_key", calendar, {"calendar_date": STD_DATE}),
+        ("location_key", location, LOCATION),
+        ("meter_type_key", meter_type, METER_TYPE),
+        ("service_key", service_class, SERVICE_CLASS),
+    ):
+        sources = _available(staging, sources)
+        if any(sources.values()):
+            facts = lookup_key(facts, dimension, key, sources)
+        else:
+            facts = facts.withColumn(key, F.lit(None).cast("int"))
     return facts.select(
         "date_key",
         F.lit(None).cast("int").alias("time_key"),

@@ -70,8 +70,15 @@ def _keyed_bills(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
     return _bills(spark, folder, BILL_DATE, "Development Name", "Meter Number", *MEASURES, *extra)
 
 
+def _kept(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
+    """Clean, deduplicated bills with their source order."""
+    bills = clean_bills(_keyed_bills(spark, folder, *extra), SALES_ORDER)
+    return first_bills(bills, SALES_ORDER)
+
+
 def _staging(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
-    return staging_names(build_staging(_keyed_bills(spark, folder, *extra), SALES_ORDER))
+    """The part of staging that dimensions and facts read: no ratios, no flag."""
+    return staging_names(_plain(_kept(spark, folder, *extra)))
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -132,7 +139,8 @@ def sink_replace_table(spark, folder):
 
 @_query
 def build_staging_table(spark, folder):
-    return staging_names(build_staging(_bills(spark, folder), SALES_ORDER))
+    raw = stored(_bills(spark, folder), "raw")
+    return staging_names(build_staging(raw, SALES_ORDER))
 
 
 # --- Row-level steps -----------------------------------------------------------------------------
@@ -228,7 +236,7 @@ def contract_cast(spark, folder):
 
 @_query
 def dedup_first_bill(spark, folder):
-    kept = first_bills(clean_bills(_keyed_bills(spark, folder, _BILL_ID), SALES_ORDER), SALES_ORDER)
+    kept = _kept(spark, folder, _BILL_ID)
     return kept.select(STD_DATE, col("Development Name"), col("Meter Number"), col(_BILL_ID), col(CHARGES))
 
 
@@ -258,7 +266,7 @@ def dim_vendor(spark, folder):
 
 
 def _rowgrain(spark, folder, columns, key, rank_by):
-    bills = first_bills(clean_bills(_keyed_bills(spark, folder, *columns), SALES_ORDER), SALES_ORDER)
+    bills = _kept(spark, folder, *columns)
     return star.build_rowgrain_dimension(bills, columns, key, rank_by, SALES_ORDER)
 
 
@@ -280,8 +288,7 @@ def dim_vendor_rowgrain(spark, folder):
 
 @_query
 def assign_fact_keys(spark, folder):
-    bills = first_bills(clean_bills(_keyed_bills(spark, folder, _BILL_ID), SALES_ORDER), SALES_ORDER)
-    narrow = bills.select(col(_BILL_ID), col(KWH), *SALES_ORDER)
+    narrow = _kept(spark, folder, _BILL_ID).select(col(_BILL_ID), col(KWH), *SALES_ORDER)
     return number_rows(narrow, SALES_ORDER, "fact_key").select("fact_key", col(_BILL_ID), col(KWH))
 
 
@@ -353,13 +360,12 @@ def fact_sorted(spark, folder):
 
 @_query
 def median_kwh(spark, folder):
-    bills = first_bills(clean_bills(_keyed_bills(spark, folder), SALES_ORDER), SALES_ORDER)
-    return exact_median(bills, KWH)
+    return exact_median(_kept(spark, folder), KWH)
 
 
 @_query
 def high_usage_flag(spark, folder):
-    staging = _staging(spark, folder, _BILL_ID)
+    staging = staging_names(build_staging(_keyed_bills(spark, folder, _BILL_ID), SALES_ORDER))
     return staging.select(col(_BILL_ID), col(STAGED_KWH), "HighUsageFlag")
 
 
@@ -433,9 +439,7 @@ def dim_customer(spark, folder):
 
 def _contract_tables(spark, folder) -> dict[str, DataFrame]:
     """Dimensions and numbered facts, each stored before the next step reads it."""
-    bills = first_bills(
-        clean_bills(_keyed_bills(spark, folder, "Borough", "Meter AMR", "Rate Class"), SALES_ORDER), SALES_ORDER
-    )
+    bills = _kept(spark, folder, "Borough", "Meter AMR", "Rate Class")
     staging = stored(
         staging_names(bills).select(
             STD_DATE,

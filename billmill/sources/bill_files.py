@@ -69,9 +69,8 @@ def read_typed_csv(spark: SparkSession, folder: str, schema: T.StructType) -> Da
     """Read an export back into the given types."""
 
     def typed(field: T.StructField):
-        text = null_if_na(col(field.name))
         if isinstance(field.dataType, T.DoubleType):
-            return parse_number(text).alias(field.name)
-        return text.try_cast(field.dataType).alias(field.name)
+            return parse_number(field.name).alias(field.name)
+        return null_if_na(field.name).try_cast(field.dataType).alias(field.name)
 
     return read_bills_csv(spark, folder).select(*[typed(field) for field in schema])

@@ -11,8 +11,8 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billmill.functions.text import col
 from billmill.schema import BILL_DATE, DIMENSIONS, MEASURES
+from billmill.sources.splits import spread
 
 # A total order of the line items: it takes the place of the order of rows in a file.
 SALES_ORDER = (
@@ -33,57 +33,42 @@ _ORDER_COLUMNS = (
 )
 
 
-def _text(number: Column) -> Column:
-    return number.cast("string")
-
-
-def _whole(number: Column) -> Column:
-    return number.cast("bigint").cast("string")
-
-
-def _every(column: str, step: int, at: int = 0) -> Column:
-    return F.col(column) % step == at
-
-
-def _expressions() -> dict[str, Column]:
-    date = F.date_format("l_shipdate", "MM/dd/yyyy")
-    cells = {
-        BILL_DATE: F.when(_every("l_partkey", 97), "02/30/2010").otherwise(date),
-        "Development Name": F.when(~_every("l_suppkey", 10, 9), F.col("s_name")),
-        "Borough": F.when(~_every("l_suppkey", 7, 6), F.col("r_name")),
-        "Account Name": F.col("c_name"),
-        "Location": F.col("p_brand"),
-        "Meter AMR": F.when(F.col("l_returnflag") == "A", "AMR").when(F.col("l_returnflag") == "N", "NONE"),
-        "Meter Scope": F.col("l_linestatus"),
-        "TDS #": _text(F.col("l_suppkey")),
-        "EDP": _text(F.col("n_nationkey")),
-        "RC Code": F.concat(F.lit("K"), _text(F.col("n_nationkey"))),
-        "Funding Source": F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "N/A").otherwise(
-            F.col("o_orderpriority")
-        ),
-        "AMP #": F.col("n_name"),
-        "Vendor Name": F.when(F.col("c_mktsegment") != "FURNITURE", F.col("c_mktsegment")),
-        "UMIS BILL ID": F.concat_ws("-", "l_orderkey", "l_linenumber"),
-        "Revenue Month": F.date_format("l_shipdate", "yyyy-MM"),
-        "Rate Class": F.col("p_type"),
-        "Estimated": F.when(F.col("l_tax") == 0, "Y").otherwise("N"),
-        "Bill Analyzed": F.lit("Yes"),
-        "Meter Number": F.when(~_every("l_partkey", 10), F.concat(F.lit("M"), F.col("l_partkey") % 5)),
-    }
-    measures = {
-        "# days": _whole(F.col("l_quantity") - 1),
-        "Current Charges": F.when(_every("l_partkey", 101), "x").otherwise(_text(F.col("l_extendedprice"))),
-        "Consumption (KWH)": F.when(_every("l_partkey", 89), "1,234")
-        .when(F.col("l_discount") == 0, "0")
-        .otherwise(_whole(F.col("l_quantity") * 37)),
-        "KWH Charges": _text(F.col("l_tax")),
-        "Consumption (KW)": _text(F.col("l_linenumber")),
-        "KW Charges": _text(F.col("l_discount")),
-        "Other charges": F.lit("0"),
-    }
-    empty = _every("l_orderkey", 53)
-    cells |= {name: F.when(empty, "n/a").otherwise(cell) for name, cell in measures.items()}
-    return cells
+_CELLS = {
+    BILL_DATE: "IF(l_partkey % 97 = 0, '02/30/2010', date_format(l_shipdate, 'MM/dd/yyyy'))",
+    "Development Name": "IF(l_suppkey % 10 = 9, NULL, s_name)",
+    "Borough": "IF(l_suppkey % 7 = 6, NULL, r_name)",
+    "Account Name": "c_name",
+    "Location": "p_brand",
+    "Meter AMR": "decode(l_returnflag, 'A', 'AMR', 'N', 'NONE')",
+    "Meter Scope": "l_linestatus",
+    "TDS #": "STRING(l_suppkey)",
+    "EDP": "STRING(n_nationkey)",
+    "RC Code": "concat('K', n_nationkey)",
+    "Funding Source": "IF(o_orderpriority = '4-NOT SPECIFIED', 'N/A', o_orderpriority)",
+    "AMP #": "n_name",
+    "Vendor Name": "IF(c_mktsegment = 'FURNITURE', NULL, c_mktsegment)",
+    "UMIS BILL ID": "concat(l_orderkey, '-', l_linenumber)",
+    "Revenue Month": "date_format(l_shipdate, 'yyyy-MM')",
+    "Rate Class": "p_type",
+    "Estimated": "IF(l_tax = 0, 'Y', 'N')",
+    "Bill Analyzed": "'Yes'",
+    "Meter Number": "IF(l_partkey % 10 = 0, NULL, concat('M', l_partkey % 5))",
+    "# days": "STRING(BIGINT(l_quantity - 1))",
+    "Current Charges": "IF(l_partkey % 101 = 0, 'x', STRING(l_extendedprice))",
+    "Consumption (KWH)": "CASE WHEN l_partkey % 89 = 0 THEN '1,234' WHEN l_discount = 0 THEN '0' "
+    "ELSE STRING(BIGINT(l_quantity * 37)) END",
+    "KWH Charges": "STRING(l_tax)",
+    "Consumption (KW)": "STRING(l_linenumber)",
+    "KW Charges": "STRING(l_discount)",
+    "Other charges": "'0'",
+}
+
+
+def _cell(name: str) -> Column:
+    rule = _CELLS[name]
+    if name in MEASURES:
+        rule = f"IF(l_orderkey % 53 = 0, 'n/a', {rule})"
+    return F.expr(rule).alias(name)
 
 
 _FROM_PART = {"Location", "Rate Class"}
@@ -99,8 +84,8 @@ def read_sales_bills(
 
     Every line item has exactly one order, customer, part and supplier, so a table is joined only if a
     wanted column comes from it. The small tables join one by one: Spark knows the size of each file and
-    broadcasts it only if it is small, while it cannot tell the size of a join. Customers meet the orders
-    first, which are fewer than the line items.
+    broadcasts it only if it is small, while it cannot tell the size of a join. Orders come first, while
+    the line items are narrow, and customers meet the orders, which are fewer than the line items.
     """
     wanted = [BILL_DATE, *DIMENSIONS, *MEASURES]
     if columns is not None:
@@ -110,7 +95,12 @@ def read_sales_bills(
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    lines = table("lineitem")
+    lines = table("lineitem").transform(spread, "l_orderkey", "l_linenumber")
+    if need & _FROM_ORDERS:
+        orders = table("orders")
+        if need & _FROM_CUSTOMER:
+            orders = orders.join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if need & _FROM_SUPPLIER:
         lines = lines.join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         lines = lines.join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -118,13 +108,7 @@ def read_sales_bills(
             lines = lines.join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     if need & _FROM_PART:
         lines = lines.join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
-    if need & _FROM_ORDERS:
-        orders = table("orders")
-        if need & _FROM_CUSTOMER:
-            orders = orders.join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    cells = _expressions()
     return lines.select(
-        *[cells[name].alias(name) for name in wanted],
-        *[col(source).alias(name) for source, name in zip(_ORDER_COLUMNS, SALES_ORDER)],
+        *[_cell(name) for name in wanted],
+        *[F.col(source).alias(name) for source, name in zip(_ORDER_COLUMNS, SALES_ORDER)],
     )

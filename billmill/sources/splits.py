@@ -1,0 +1,16 @@
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Give an input with fewer splits than cores to all cores.
+
+    A compressed text file or a Parquet file with one row group is a single task, and all row-level work
+    after it would run on one core. Inputs with enough splits are left alone: no shuffle. ``by`` should
+    tell rows apart, so that no value gathers many rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *by)
