@@ -61,7 +61,14 @@ def write_bills_csv(df: DataFrame, folder: str) -> None:
             return text.alias(field.name)
         return value
 
-    options = {"header": True, "escape": '"', "dateFormat": "yyyy-MM-dd"}
+    options = {
+        "header": True,
+        "escape": '"',
+        "dateFormat": "yyyy-MM-dd",
+        # Spark trims cells on writing unless told otherwise.
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
     df.select(*[cell(f) for f in df.schema]).write.mode("overwrite").options(**options).csv(folder)
 
 

@@ -15,15 +15,12 @@ def shared_folder(spark: SparkSession) -> str:
     would be lost together with its machine.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="billmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="billmill-"))
+    return named or context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
