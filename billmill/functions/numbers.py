@@ -1,26 +1,42 @@
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billmill.functions.text import quoted
 
 INFINITY = float("inf")
-_JAVA_ONLY = "[dDfFxX]"  # letters of 5d, 5f and 0x1p3; no plain finite number holds one
+# Spark's cast also takes Java literals (5d, 5f, 0x1p3) and NaN; none of them is a number here.
+_NO_NUMBER = "[dDxX]|[0-9.][fF]|[nN][aA]"
 _SPELLED_OUT = "[nN]"  # inf and infinity hold it, 1e400 does not
 
 
-def parse_number(name: str) -> Column:
-    """The text column as DOUBLE; NULL for anything that is no plain number.
+def cast_number(name: str) -> Column:
+    """First half of parsing: the text column as DOUBLE, Infinity for numbers that are too large."""
+    text = f"CAST({quoted(name)} AS STRING)"
+    return F.expr(f"TRY_CAST(IF({text} RLIKE '{_NO_NUMBER}', NULL, {text}) AS DOUBLE)")
+
+
+def accept_number(name: str, cast: str) -> Column:
+    """Second half: Infinity stays only where the text spells it out; 1e400 is no number."""
+    number = quoted(cast)
+    too_large = f"abs({number}) = DOUBLE('Infinity') AND NOT CAST({quoted(name)} AS STRING) RLIKE '{_SPELLED_OUT}'"
+    return F.expr(f"IF({too_large}, NULL, {number})")
 
-    Spark's cast also takes Java literals such as ``5d`` and turns ``1e400`` into Infinity; both are
-    no numbers here. Infinity stays only where it is spelled out. NaN is a missing value.
+
+def parse_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Replace the text columns by DOUBLE columns, NULL for anything that is no plain number.
+
+    Two projections, so that each text is cast once. The expressions are short on purpose: with all bill
+    columns, the generated method must stay below the size up to which Java compiles methods.
     """
-    text = f"CAST({quoted(name)} AS STRING)"
-    number = f"TRY_CAST({text} AS DOUBLE)"
-    return F.expr(
-        f"""CASE WHEN abs({number}) < DOUBLE('Infinity') AND NOT {text} RLIKE '{_JAVA_ONLY}' THEN {number}
-            WHEN abs({number}) = DOUBLE('Infinity') AND {text} RLIKE '{_SPELLED_OUT}' THEN {number} END"""
+    casts = {name: f"_cast_{i}" for i, name in enumerate(names)}
+    return (
+        df.withColumns({cast: cast_number(name) for name, cast in casts.items()})
+        .withColumns({name: accept_number(name, cast) for name, cast in casts.items()})
+        .drop(*casts.values())
     )
 
 

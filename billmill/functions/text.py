@@ -22,3 +22,9 @@ _TOKENS = ", ".join(f"'{token}'" for token in NA_TOKENS)
 def null_if_na(name: str) -> Column:
     """NULL when the text column holds one of the no-value spellings, else the text unchanged."""
     return F.expr(f"CASE WHEN {quoted(name)} NOT IN ({_TOKENS}) THEN {quoted(name)} END")
+
+
+def member_or(name: str, unknown: str) -> Column:
+    """The text unchanged, or ``unknown`` where it is NULL or a no-value spelling."""
+    text = f"CAST({quoted(name)} AS STRING)"
+    return F.expr(f"CASE WHEN {text} NOT IN ({_TOKENS}) THEN {text} ELSE '{unknown}' END")

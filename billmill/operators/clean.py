@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billmill.functions.dates import DATE_FORMAT, parse_date
-from billmill.functions.numbers import parse_number, per_day, unit_cost
-from billmill.functions.text import col, null_if_na
+from billmill.functions.numbers import parse_numbers, per_day, unit_cost
+from billmill.functions.text import col, member_or, null_if_na
 from billmill.schema import (
     BILL_DATE,
     CHARGES,
@@ -58,17 +58,12 @@ def drop_undated(df: DataFrame) -> DataFrame:
 
 
 def fill_unknown(df: DataFrame) -> DataFrame:
-    """Give rows without a dimension value the member "Unknown"."""
-    return df.withColumns(
-        {
-            name: F.coalesce(col(name).cast("string"), F.lit(UNKNOWN))
-            for name in present(df, DIMENSIONS)
-        }
-    )
+    """Give rows without a dimension value (NULL or a no-value spelling) the member "Unknown"."""
+    return df.withColumns({name: member_or(name, UNKNOWN) for name in present(df, DIMENSIONS)})
 
 
 def coerce_measures(df: DataFrame) -> DataFrame:
-    return df.withColumns({name: parse_number(name) for name in present(df, MEASURES)})
+    return parse_numbers(df, present(df, MEASURES))
 
 
 def drop_empty_measures(df: DataFrame) -> DataFrame:

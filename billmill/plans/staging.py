@@ -21,19 +21,23 @@ from billmill.operators.clean import (
 )
 from billmill.operators.dedup import keep_first
 from billmill.operators.median import exact_median, flag_above
-from billmill.schema import BILL_DATE, DUPLICATE_KEYS, KWH, MEASURES, STAGING_RENAMES, STD_DATE
+from billmill.schema import BILL_DATE, DIMENSIONS, DUPLICATE_KEYS, KWH, MEASURES, STAGING_RENAMES, STD_DATE
 from billmill.sources.bill_files import FILE_ORDER
 
 
+_LISTED = (BILL_DATE, *DIMENSIONS, *MEASURES)
+
+
 def clean_bills(
     raw: DataFrame, order: Sequence[str] = FILE_ORDER, date_format: str = DATE_FORMAT
 ) -> DataFrame:
     """The row-level steps: no shuffle. Blanks become members of a key before keys are compared.
 
-    Date and measures need no token step: no token parses as a day or a number.
+    Only unlisted columns need the token step: filling covers the dimensions, and no token parses as a
+    day or a number.
     """
     return (
-        raw.transform(null_na_tokens, (*order, BILL_DATE, *MEASURES))
+        raw.transform(null_na_tokens, (*order, *_LISTED))
         .transform(parse_bill_date, date_format)
         .transform(drop_undated)
         .transform(fill_unknown)
@@ -89,8 +93,7 @@ def stage_counts(
     The row-level stages are conditional counts. The deduplicated stage is a distinct count of the
     keys, which Spark pre-aggregates per task.
     """
-    marked = raw.transform(null_na_tokens, (*order, BILL_DATE, *MEASURES))
-    marked = marked.transform(parse_bill_date, date_format)
+    marked = raw.transform(parse_bill_date, date_format)
     dated = col(STD_DATE).isNotNull()
     marked = marked.transform(fill_unknown).transform(coerce_measures)
     measures = present(marked, MEASURES)

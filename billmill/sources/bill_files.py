@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billmill.functions.numbers import parse_number
+from billmill.functions.numbers import parse_numbers
 from billmill.functions.text import col, null_if_na
 
 # Where a row stands in its input: read once at the scan, kept with the row from then on.
@@ -77,7 +77,9 @@ def read_typed_csv(spark: SparkSession, folder: str, schema: T.StructType) -> Da
 
     def typed(field: T.StructField):
         if isinstance(field.dataType, T.DoubleType):
-            return parse_number(field.name).alias(field.name)
+            return col(field.name)
         return null_if_na(field.name).try_cast(field.dataType).alias(field.name)
 
-    return read_bills_csv(spark, folder).select(*[typed(field) for field in schema])
+    numbers = [field.name for field in schema if isinstance(field.dataType, T.DoubleType)]
+    bills = parse_numbers(read_bills_csv(spark, folder), numbers)
+    return bills.select(*[typed(field) for field in schema])
