@@ -104,7 +104,8 @@ def stage_counts(
 
     n_raw = len(raw.columns) - len(order)
     n_clean = len(marked.columns) - len(order)
-    n_final = len(build_staging(raw, order, date_format).columns)
+    derived = marked.transform(add_daily_ratios).transform(add_unit_cost).columns
+    n_final = len(derived) + (KWH in derived) - len(order)  # and the flag
     counts = marked.agg(
         F.count(F.lit(1)).alias("raw"),
         F.count_if(dated).alias("dated"),
