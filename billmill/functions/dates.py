@@ -3,13 +3,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from billmill.functions.text import quoted
+
 # One declared format per run: 1/6/2010 and 01/06/2010 both match.
 DATE_FORMAT = "M/d/yyyy"
 
 
-def parse_date(text: Column, date_format: str = DATE_FORMAT) -> Column:
-    """Text to DATE; NULL for text that is no such day (02/30 included), also under ANSI."""
-    return F.try_to_timestamp(text, F.lit(date_format)).cast("date")
+def parse_date(name: str, date_format: str = DATE_FORMAT) -> Column:
+    """The text column as DATE; NULL for text that is no such day (02/30 included), also under ANSI.
+
+    Days that 64-bit nanoseconds cannot hold (before 1677 or after 2262, such as 12/31/9999) are NULL too:
+    they are placeholders, no bill dates. The multiplication overflows to NULL exactly there.
+    """
+    moment = f"try_to_timestamp({quoted(name)}, '{date_format}')"
+    nanoseconds = f"try_multiply(unix_micros({moment}), 1000L)"
+    return F.expr(f"CAST(timestamp_micros({nanoseconds} div 1000) AS DATE)")
 
 
 def date_key(day: Column) -> Column:

@@ -40,7 +40,7 @@ def parse_bill_date(df: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
         raise ValueError(f"the bills have no column {BILL_DATE!r}")
     day = col(STD_DATE)
     return (
-        df.withColumn(STD_DATE, parse_date(col(BILL_DATE), date_format))
+        df.withColumn(STD_DATE, parse_date(BILL_DATE, date_format))
         .withColumn(BILL_DATE, day)
         .withColumns(
             {

@@ -254,11 +254,11 @@ def oracle_sql() -> dict[str, str]:
     dim_vendor = f"WITH {_STAGED} {_dimension(DIM_VENDOR, 'vendor_key')}"
     return {
         "scan_csv_bills": _RAW,
-        "land_raw_bills": f"WITH {_BILLS} SELECT {_list(_RAW_COLUMNS)}, TRUE AS has_source FROM bills",
+        "land_raw": f"WITH {_BILLS} SELECT {_list(_RAW_COLUMNS)}, TRUE AS has_source FROM bills",
         "dedup_in_file_order": _FIRST,
         "sink_csv_roundtrip": f"WITH {_STAGED} SELECT {_FULL_STAGING} FROM staged",
         "sink_replace_table": usage,
-        "build_staging_table": f"WITH {_STAGED} SELECT {_RENAMED} FROM staged",
+        "build_staging": f"WITH {_STAGED} SELECT {_RENAMED} FROM staged",
         "parse_bill_date": f"""WITH {_BILLS}, {_PARSED}
 SELECT "UMIS BILL ID", {_q(_DATE)} AS service_end_text, "BillDate_Std" AS {_q(_DATE)} FROM parsed""",
         "calendar_parts": f"""WITH {_BILLS}, {_PARSED}
@@ -279,7 +279,7 @@ SELECT *, {_per_day(_KWH)} AS "Avg_Daily_kWh", {_per_day(_CHARGES)} AS "Avg_Dail
         "cost_per_kwh": f"""WITH {_BILLS}, numbers AS (
   SELECT "UMIS BILL ID", {_measures(["Current Charges", "Consumption (KWH)"])} FROM bills)
 SELECT *, {_COST} AS "Cost_per_kWh" FROM numbers""",
-        "smart_date_key": f"""WITH {_BILLS}, {_PARSED}
+        "date_key": f"""WITH {_BILLS}, {_PARSED}
 SELECT "UMIS BILL ID", CAST(strftime("BillDate_Std", '%Y%m%d') AS INTEGER) AS date_key FROM parsed""",
         "filter_not_null": f"""WITH {_BILLS}
 SELECT {_list(["UMIS BILL ID", "Development Name", "Meter Number", "Vendor Name"])} FROM bills
@@ -305,7 +305,7 @@ FROM numbers""",
         "dim_vendor_rowgrain": f'WITH {_STAGED} {_rowgrain(DIM_VENDOR, "vendor_key", list(DIM_VENDOR))}',
         "assign_fact_keys": f"""WITH {_STAGED}
 SELECT CAST(ROW_NUMBER() OVER (ORDER BY {_ORDER}) AS BIGINT) AS fact_key, "UMIS BILL ID", {_KWH} FROM staged""",
-        "join_bill_dates": f"""WITH {_STAGED}, dates AS ({_DIM_DATE})
+        "join_bill_date": f"""WITH {_STAGED}, dates AS ({_DIM_DATE})
 SELECT s."UMIS BILL ID", s."BillDate_Std", d.date_key, d."Bill_Year" AS bill_year
 FROM staged AS s LEFT JOIN dates AS d ON d.bill_date = s."BillDate_Std" WHERE d."Bill_Year" IS NOT NULL""",
         "join_development": f"""WITH {_STAGED}, members AS (

@@ -49,12 +49,19 @@ _BILL_ID = "UMIS BILL ID"
 _RECORD_SOURCE = "monthly_bills"
 
 
-def _query(build: Query) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(tune(spark), folder)
+def _named(name: str) -> Callable[[Query], Query]:
+    def register(build: Query) -> Query:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return build(tune(spark), folder)
+
+        _REGISTRY[name] = run
+        return build
+
+    return register
 
-    _REGISTRY[build.__name__] = run
-    return build
+
+def _query(build: Query) -> Query:
+    return _named(build.__name__)(build)
 
 
 def registered() -> dict[str, Query]:
@@ -101,7 +108,7 @@ def scan_csv_bills(spark, folder):
     return bills.select(*[col(name) for name in [BILL_DATE, *DIMENSIONS, *MEASURES]])
 
 
-@_query
+@_named("land_raw")
 def land_raw_bills(spark, folder):
     landed = land_raw(read_bills_csv(spark, _csv_folder(spark, folder)), new_folder(spark, "raw"))
     has_source = F.col("_source_file").endswith(".csv") & (F.col("_source_row") >= 0)
@@ -137,7 +144,7 @@ def sink_replace_table(spark, folder):
     return replace_table(star.usage_by_year(staging), table, path)
 
 
-@_query
+@_named("build_staging")
 def build_staging_table(spark, folder):
     raw = stored(_bills(spark, folder), "raw")
     return staging_names(build_staging(raw, SALES_ORDER))
@@ -200,7 +207,7 @@ def cost_per_kwh(spark, folder):
     return _plain(bills.transform(clean.add_unit_cost))
 
 
-@_query
+@_named("date_key")
 def smart_date_key(spark, folder):
     bills = _bills(spark, folder, BILL_DATE, _BILL_ID).transform(clean.parse_bill_date)
     return bills.select(col(_BILL_ID), date_key(col(STD_DATE)).alias("date_key"))
@@ -295,7 +302,7 @@ def assign_fact_keys(spark, folder):
 # --- Joins -----------------------------------------------------------------------------------------
 
 
-@_query
+@_named("join_bill_date")
 def join_bill_dates(spark, folder):
     staging = stored(_staging(spark, folder, _BILL_ID).select(col(_BILL_ID), STD_DATE, *CALENDAR_PARTS), "staging")
     dates = stored(star.build_dim_date(staging), "dim-date")
@@ -437,8 +444,8 @@ def dim_customer(spark, folder):
     return contract.dim_customer(_staging(spark, folder, "Account Name", "Borough"))
 
 
-def _contract_tables(spark, folder) -> dict[str, DataFrame]:
-    """Dimensions and numbered facts, each stored before the next step reads it."""
+def _contract_tables(spark, folder, numbered: bool = True) -> dict[str, DataFrame]:
+    """Dimensions and facts, each dimension stored before the facts read it."""
     bills = _kept(spark, folder, "Borough", "Meter AMR", "Rate Class")
     staging = stored(
         staging_names(bills).select(
@@ -456,7 +463,7 @@ def _contract_tables(spark, folder) -> dict[str, DataFrame]:
     }
     tables = {name: stored(table, name) for name, table in tables.items()}
     rows = contract.fact_rows(staging, *tables.values(), _RECORD_SOURCE, keep=SALES_ORDER)
-    tables["fact_electric_consumption"] = contract.load_fact(rows, SALES_ORDER)
+    tables["fact_electric_consumption"] = contract.load_fact(rows, SALES_ORDER) if numbered else rows
     return tables
 
 
@@ -467,7 +474,7 @@ def load_contract_fact(spark, folder):
 
 @_query
 def check_foreign_keys(spark, folder):
-    tables = _contract_tables(spark, folder)
+    tables = _contract_tables(spark, folder, numbered=False)
     facts = tables.pop("fact_electric_consumption")
     # One location is taken away, so that its facts are orphans.
     tables["dim_location"] = tables["dim_location"].where(F.col("location_key") != 1)

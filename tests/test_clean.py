@@ -67,6 +67,12 @@ DAYS = [
     ("01/26/2010", dt.date(2010, 1, 26)),
     ("1/6/2010", dt.date(2010, 1, 6)),
     ("02/29/2012", dt.date(2012, 2, 29)),
+    ("04/11/2262", dt.date(2262, 4, 11)),
+    ("09/22/1677", dt.date(1677, 9, 22)),
+    ("04/12/2262", None),
+    ("12/31/9999", None),
+    ("09/20/1677", None),
+    ("1/6/10", None),
     ("02/30/2010", None),
     ("02/29/2011", None),
     ("13/01/2010", None),
@@ -83,7 +89,7 @@ def test_dates(spark):
     assert column(parsed, "Service End Date") == [day for _, day in DAYS]
     first = parsed.first()
     assert (first.Bill_Year, first.Bill_Quarter, first.Bill_Month, first.Bill_Day) == (2010, 1, 1, 26)
-    assert clean.drop_undated(parsed).count() == 3
+    assert clean.drop_undated(parsed).count() == 5
 
 
 def test_another_date_format(spark):

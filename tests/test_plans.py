@@ -14,7 +14,7 @@ BOUNDED = {
     "median_kwh",
     "high_usage_flag",
     "optional_columns",
-    "build_staging_table",
+    "build_staging",
     "sink_csv_roundtrip",
 }
 
@@ -67,3 +67,23 @@ def test_counts_for_the_median_are_shuffled_once(spark, small):
     final = plan_of(median).split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1
     assert final.count("ReusedExchange") >= 2
+
+
+def test_generated_code_is_small_enough_to_be_compiled(spark, small, capsys):
+    """Java interprets methods above 8000 bytes; all 26 bill columns must stay below."""
+    from billmill.plans.staging import clean_bills, first_bills
+    from billmill.sources.sales_bills import SALES_ORDER, read_sales_bills
+    from billmill.workspace import stored
+
+    raw = stored(read_sales_bills(spark, small), "raw")
+    kept = first_bills(clean_bills(raw, SALES_ORDER), SALES_ORDER)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.codegen.hugeMethodLimit")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        kept.explain("codegen")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000, sizes

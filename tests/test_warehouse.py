@@ -16,7 +16,7 @@ def loaded(spark, small, tmp_path_factory):
 
 def test_tables_hold_what_the_queries_give(spark, small, loaded):
     load, tables = loaded
-    assert set(tables["electric_staging"].columns) == set(registered()["build_staging_table"](spark, small).columns)
+    assert set(tables["electric_staging"].columns) == set(registered()["build_staging"](spark, small).columns)
     for name in ("dim_date", "dim_development", "dim_meter", "dim_vendor", "fact_borough_year_usage", "stage_row_counts"):
         stored = spark.table(f"{load.namespace}.{name}")
         want = registered()[name](spark, small).select(stored.columns)
