@@ -18,6 +18,7 @@ from billmill.schema import (
     DIM_METER,
     DIM_VENDOR,
     DUPLICATE_KEYS,
+    STAGING_RENAMES,
 )
 from billmill.session import tune
 from billmill.sources.bill_files import land_raw, read_bills_csv, write_bills_csv
@@ -53,7 +54,9 @@ def load_staging(spark: SparkSession, load: Load) -> DataFrame:
     counts = stage_counts(raw, date_format=load.date_format)
     replace_table(counts, f"{load.namespace}.stage_row_counts", load.folder)
     if load.export:
-        write_bills_csv(stored, load.export)
+        # The file keeps the names of the bills; only tables need other ones.
+        original = {table_name: name for name, table_name in STAGING_RENAMES.items()}
+        write_bills_csv(stored.withColumnsRenamed(original), load.export)
     return stored
 
 

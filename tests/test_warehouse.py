@@ -3,8 +3,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from billmill.plans.staging import build_staging
 from billmill.plans.warehouse import Load, run
 from billmill.queries import _csv_folder, registered
+from billmill.sources.sales_bills import SALES_ORDER, read_sales_bills
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +25,13 @@ def test_tables_hold_what_the_queries_give(spark, small, loaded):
         assert sorted(map(str, stored.collect())) == sorted(map(str, want.collect())), name
 
 
+def test_export_keeps_the_names_of_the_bills(spark, small, loaded):
+    load, tables = loaded
+    export = spark.read.option("header", True).option("escape", '"').csv(load.export)
+    assert export.columns == build_staging(read_sales_bills(spark, small), SALES_ORDER).columns
+    assert export.count() == tables["electric_staging"].count()
+
+
 def test_contract_tables(spark, loaded):
     load, tables = loaded
     assert tables["contract.dim_time"].count() == 1440
