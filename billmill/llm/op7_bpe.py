@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billmill.llm.tokens import WHITE_SPACE, Remembered, byte_letters, load_json
+from billmill.llm.tokens import WHITE_SPACE, WordIds, byte_letters, id_lists, load_json
 from billmill.llm.words import field, slices
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -73,7 +73,7 @@ class ByteBPE:
         self.token_bytes = np.frombuffer(b"".join(self.token), np.uint8)
         self.token_lengths, self.token_starts = lengths, np.cumsum(lengths) - lengths
         self._split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.groups = Remembered(self._encode_groups)
+        self.groups = WordIds(self._encode_groups)
 
     def _merges(self, model: dict) -> None:
         vocab = model["vocab"]
@@ -261,35 +261,31 @@ class ByteBPE:
         return out
 
     def _encode_groups(self, groups: list[str]) -> list[bytes]:
-        parts = [_PRETOKENS.findall(group) for group in groups]
-        distinct = list({part for group in parts for part in group})
+        parts = [_PRETOKENS.findall(g) if g not in self.special else [g] for g in groups]
+        distinct = list({part for group in parts for part in group}.difference(self.special))
         ids = dict(zip(distinct, self.encode_words([part.encode() for part in distinct])))
-        return [b"".join([ids[part] for part in group]) for group in parts]
-
-    def encode_texts(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        cut = []
-        for text in texts:
-            pieces = self._split.split(text) if self._split else [text]
-            cut.append([(p, _GROUPS.findall(p) if p not in self.special else None) for p in pieces if p])
-        table = self.groups.table({g for pieces in cut for _, groups in pieces if groups for g in groups})
-        out = []
-        for pieces in cut:
-            ids = []
-            for piece, groups in pieces:
-                if groups is None:
-                    ids.append(np.array([self.special[piece]], "<u4").tobytes())
-                else:
-                    ids += [table[group] for group in groups]
-            out.append(b"".join(ids))
-        return out
-
-    def decode(self, packed: bytes) -> str:
-        ids = np.frombuffer(packed, "<u4").astype(np.int64)
+        ids |= {text: np.array([i], "<u4").tobytes() for text, i in self.special.items()}
+        return [ids[group[0]] if len(group) == 1 else b"".join([ids[part] for part in group]) for group in parts]
+
+    def _cut(self, text: str) -> list[str]:
+        if self._split is None or self._split.search(text) is None:
+            return _GROUPS.findall(text)
+        # a special token is a group of its own
+        pieces = self._split.split(text)
+        return [g for p in pieces if p for g in ([p] if p in self.special else _GROUPS.findall(p))]
+
+    def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts after each other, and the number of ids of each text."""
+        return self.groups([self._cut(text) for text in texts])
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes that the ids of each text stand for."""
         lengths = self.token_lengths[ids]
         first = np.cumsum(lengths) - lengths
         place = np.arange(int(lengths.sum())) + np.repeat(self.token_starts[ids] - first, lengths)
-        return self.token_bytes[place].tobytes().decode("utf-8", "replace")
+        data = self.token_bytes[place].tobytes()
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [data[i:j] for i, j in zip(ends, ends[1:])]
 
 
 @cache
@@ -305,11 +301,9 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabula
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(vocabulary)
         for batch in slices(batches, "text"):
-            packed = bpe.encode_texts([t or "" for t in field(batch, "text").to_pylist()])
-            at = np.cumsum([0, *[len(p) // 4 for p in packed]]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32))
-            ids = pa.ListArray.from_arrays(pa.array(at), values)
-            decoded = pa.array([bpe.decode(p) for p in packed], pa.string())
+            ids, counts = bpe.encode_texts([t or "" for t in field(batch, "text").to_pylist()])
+            decoded = [d.decode("utf-8", "replace") for d in bpe.decode(ids.astype(np.int64), counts)]
+            ids, decoded = id_lists(ids, counts), pa.array(decoded, pa.string())
             yield pa.RecordBatch.from_arrays([field(batch, "doc_id"), ids, decoded], ["doc_id", "ids", "decoded"])
 
     return narrow.mapInArrow(run, "doc_id long, ids array<int>, decoded string")

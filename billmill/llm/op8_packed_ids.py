@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from billmill.llm.tokens import WHITE_SPACE, Remembered, vocabulary_file
+from billmill.llm.tokens import WHITE_SPACE, WordIds, id_lists, vocabulary_file
 from billmill.llm.words import field, slices
 from billmill.workspace import new_folder
 
@@ -270,6 +270,10 @@ def _tokenizer(vocabulary: str):
 # The words of the vocabulary file's own pattern, in lower-case text.
 _ASCII_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^{WHITE_SPACE}a-z0-9]+")
 _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+")
+# The same for texts whose only other characters are these letters: much faster.
+_LATIN = "\u00df-\u00f6\u00f8-\u00ff"
+_LATIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^{WHITE_SPACE}a-z0-9{_LATIN}]+")
+_BEYOND_LATIN = re.compile(rf"[^\x00-\x7f{_LATIN}]")
 _TOGETHER = 400  # words per call of the library
 
 
@@ -287,17 +291,22 @@ class CachedTokenizer:
         vocab, suffix = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
         self.ends_word = np.zeros(1 + max(vocab.values()), bool)
         self.ends_word[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
-        self.words = Remembered(self._words, 300_000)
+        self.words = WordIds(self._words)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _words(self, words: list[str]) -> list[bytes]:
+        # A text for the library alone is one word behind a mark.
+        plain = [w for w in words if w[0] != "\0" or len(w) == 1]
+        ids = iter(self._joined(plain))
+        return [next(ids) if w[0] != "\0" or len(w) == 1 else self._whole(w[1:]) for w in words]
+
+    def _joined(self, words: list[str]) -> list[bytes]:
         groups = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
+        texts = [" ".join(group) for group in groups]
         out = []
-        for group, found in zip(
-            groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
-        ):
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             last = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
             if len(last) == len(group) and last[-1] == 4 * len(ids):
@@ -307,19 +316,17 @@ class CachedTokenizer:
                 out += [self._whole(w) for w in group]
         return out
 
-    @staticmethod
-    def _cut(text: str) -> list[str]:
+    def _cut(self, text: str) -> list[str]:
+        if self.odd.search(text):
+            return ["\0" + text]
         if text.isascii():
             return _ASCII_WORDS.findall(text.lower())
-        return _WORDS.findall(unicodedata.normalize("NFC", text).lower())
+        text = unicodedata.normalize("NFC", text).lower()
+        return (_WORDS if _BEYOND_LATIN.search(text) else _LATIN_WORDS).findall(text)
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [None if self.odd.search(text) else self._cut(text) for text in texts]
-        table = self.words.table(set().union(*[words for words in cut if words]))
-        return [
-            self._whole(text) if words is None else b"".join([table[w] for w in words])
-            for text, words in zip(texts, cut)
-        ]
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts after each other, and the number of ids of each text."""
+        return self.words([self._cut(text) for text in texts])
 
 
 @cache
@@ -331,18 +338,20 @@ def token_ids(docs: DataFrame, doc_id: str, text: str, vocabulary: str, end_id:
     """doc_id and ``ids`` in ascending order of doc_id over the partitions, one range each."""
     ordered = (
         docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        .repartitionByRange("doc_id", "text")
+        .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _cached(vocabulary)
         for batch in slices(batches, "text"):
-            packed = [p + end for p in encode(field(batch, "text").to_pylist())]
-            at = np.cumsum([0, *[len(p) // 4 for p in packed]]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32))
-            ids = pa.ListArray.from_arrays(pa.array(at), values)
+            values, counts = encode(field(batch, "text").to_pylist())
+            if end_id is not None:
+                closed = np.full(len(values) + len(counts), end_id, np.uint32)
+                own = np.ones(len(closed), bool)
+                own[np.cumsum(counts + 1) - 1] = False
+                closed[own] = values
+                values, counts = closed, counts + 1
+            ids = id_lists(values, counts)
             yield pa.RecordBatch.from_arrays([field(batch, "doc_id"), ids], ["doc_id", "ids"])
 
     return ordered.mapInArrow(run, "doc_id long, ids array<int>")

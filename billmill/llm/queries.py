@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from billmill.llm import op5_decontaminate as op5
+from billmill.llm.op1_jaccard_join import op1_jaccard_join
 from billmill.llm.op7_bpe import op7_bpe
 from billmill.llm.op8_packed_ids import op8_packed_ids
 from billmill.llm.op9_quality import op9_quality_rules
+from billmill.llm.op10_secrets import op10_secrets
+from billmill.llm.ship import shipped
 
-QUERIES = {query.__name__: query for query in (op7_bpe, op8_packed_ids, op9_quality_rules)}
+_ALL = (op1_jaccard_join, op5.op5_decontaminate, op7_bpe, op8_packed_ids, op9_quality_rules, op10_secrets)
+QUERIES = {query.__name__: shipped(query) for query in _ALL}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_decontaminate": op5.SQL}

@@ -5,6 +5,10 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
 
 # White space as the tokenizers' patterns mean it (Unicode White_Space).
 WHITE_SPACE = r"\t-\r \x85\xa0  -     　"
@@ -32,24 +36,53 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(moved)}
 
 
-class Remembered:
-    """Results by word, at most two generations of ``size`` words: memory is bounded, results are not."""
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
+class WordIds:
+    """The ids of words, computed once per word; forgets all words when it holds more than ``size``.
 
-    def __init__(self, compute: Callable[[list[str]], list[bytes]], size: int = 150_000) -> None:
+    ``compute`` gives the ids of new words as little-endian 32-bit numbers. Forgetting bounds the memory
+    and costs time only.
+    """
+
+    def __init__(self, compute: Callable[[list[str]], list[bytes]], size: int = 400_000) -> None:
         self.compute, self.size = compute, size
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def table(self, words: set[str]) -> dict[str, bytes]:
-        """A table that holds at least ``words``."""
-        if len(self.young) > self.size:
-            self.young, self.old = {}, self.young
-        missing = words.difference(self.young)
-        if self.old:
-            old = self.old
-            self.young.update((w, old[w]) for w in missing.intersection(old))
-            missing = missing.difference(old)
-        if missing:
-            ordered = list(missing)
-            self.young.update(zip(ordered, self.compute(ordered)))
-        return self.young
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers = _Numbers()
+        self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def __call__(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (lists of words) after each other, and the number of ids of each text."""
+        if len(self.numbers) > self.size:
+            self._forget()
+        number = self.numbers.__getitem__
+        counts = np.array([len(words) for words in cut], np.int64)
+        which = np.fromiter(map(number, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        if self.numbers.new:
+            packed = self.compute(self.numbers.new)
+            self.sizes = np.concatenate([self.sizes, np.array([len(p) // 4 for p in packed], np.int64)])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(packed), "<u4")])
+            self.numbers.new = []
+        starts = np.cumsum(self.sizes) - self.sizes
+        sizes = self.sizes[which]
+        first = np.cumsum(sizes) - sizes
+        ids = self.ids[np.arange(int(sizes.sum())) + np.repeat(starts[which] - first, sizes)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+        return ids, np.diff(ends)
+
+
+def id_lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(ids.astype(np.int32)))
