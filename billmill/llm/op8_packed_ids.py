@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from billmill.llm.tokens import WHITE_SPACE, WordIds, id_lists, vocabulary_file
+from billmill.llm.tokens import WHITE_SPACE, WordIds, vocabulary_file
 from billmill.llm.words import field, slices
 from billmill.workspace import new_folder
 
@@ -164,8 +164,9 @@ class _Shard(InputPartition):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, bits: int) -> None:
-        self.path, self.bits = path.rstrip("/"), bits
+    def __init__(self, path: str, vocabulary: str, end_id: int | None) -> None:
+        self.path, self.vocabulary, self.end_id = path.rstrip("/"), vocabulary, end_id
+        self.bits = bits_for(_tokenizer(vocabulary).get_vocab_size())
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         from pyspark import TaskContext
@@ -176,11 +177,11 @@ class _Writer(DataSourceArrowWriter):
         name = f"part-{task:08d}-{uuid.uuid4().hex}.ids"
         with store.open_output_stream(f"{folder}/{name}") as out:
             writer = PackedWriter(out, self.bits)
-            for batch in iterator:
-                ids = field(batch, "ids")
-                counts = np.diff(ids.offsets.to_numpy()).astype(np.int64)
+            encode = _cached(self.vocabulary)
+            for batch in slices(iterator, "text"):
+                ids, counts = closed(*encode([t or "" for t in field(batch, "text").to_pylist()]), self.end_id)
                 doc_ids = field(batch, "doc_id").fill_null(int(_NO_ID)).to_numpy(zero_copy_only=False)
-                writer.add(doc_ids, counts, ids.flatten().to_numpy(zero_copy_only=False))
+                writer.add(doc_ids, counts, ids)
             figures = writer.close()
         return _File(task, name, **figures)
 
@@ -238,7 +239,7 @@ class _Reader(DataSourceReader):
 
 
 class PackedIds(DataSource):
-    """``packed_ids``: options ``path`` and, for writing, ``bits``."""
+    """``packed_ids``: option ``path``; for writing doc_id and text also ``vocabulary`` and ``end_id``."""
 
     @classmethod
     def name(cls) -> str:
@@ -248,7 +249,8 @@ class PackedIds(DataSource):
         return "doc_id long, start long, ids array<int>"
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return _Writer(self.options["path"], int(self.options["bits"]))
+        end_id = self.options.get("end_id")
+        return _Writer(self.options["path"], self.options["vocabulary"], None if end_id is None else int(end_id))
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options["path"])
@@ -297,10 +299,9 @@ class CachedTokenizer:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _words(self, words: list[str]) -> list[bytes]:
-        # A text for the library alone is one word behind a mark.
-        plain = [w for w in words if w[0] != "\0" or len(w) == 1]
-        ids = iter(self._joined(plain))
-        return [next(ids) if w[0] != "\0" or len(w) == 1 else self._whole(w[1:]) for w in words]
+        # A text for the library alone is one word behind a blank; no other word has one.
+        ids = iter(self._joined([w for w in words if w[0] != " "]))
+        return [next(ids) if w[0] != " " else self._whole(w[1:]) for w in words]
 
     def _joined(self, words: list[str]) -> list[bytes]:
         groups = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
@@ -318,7 +319,7 @@ class CachedTokenizer:
 
     def _cut(self, text: str) -> list[str]:
         if self.odd.search(text):
-            return ["\0" + text]
+            return [" " + text]
         if text.isascii():
             return _ASCII_WORDS.findall(text.lower())
         text = unicodedata.normalize("NFC", text).lower()
@@ -334,27 +335,15 @@ def _cached(vocabulary: str) -> CachedTokenizer:
     return CachedTokenizer(vocabulary)
 
 
-def token_ids(docs: DataFrame, doc_id: str, text: str, vocabulary: str, end_id: int | None) -> DataFrame:
-    """doc_id and ``ids`` in ascending order of doc_id over the partitions, one range each."""
-    ordered = (
-        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
-    )
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _cached(vocabulary)
-        for batch in slices(batches, "text"):
-            values, counts = encode(field(batch, "text").to_pylist())
-            if end_id is not None:
-                closed = np.full(len(values) + len(counts), end_id, np.uint32)
-                own = np.ones(len(closed), bool)
-                own[np.cumsum(counts + 1) - 1] = False
-                closed[own] = values
-                values, counts = closed, counts + 1
-            ids = id_lists(values, counts)
-            yield pa.RecordBatch.from_arrays([field(batch, "doc_id"), ids], ["doc_id", "ids"])
-
-    return ordered.mapInArrow(run, "doc_id long, ids array<int>")
+def closed(ids: np.ndarray, counts: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """The same with ``end_id`` after each text."""
+    if end_id is None:
+        return ids, counts
+    out = np.full(len(ids) + len(counts), end_id, np.uint32)
+    own = np.ones(len(out), bool)
+    own[np.cumsum(counts + 1) - 1] = False
+    out[own] = ids
+    return out, counts + 1
 
 
 def write_packed(
@@ -365,11 +354,17 @@ def write_packed(
     vocabulary: str = VOCABULARY,
     end_id: int | None = END_ID,
 ) -> None:
-    """Encode every text and write the ids in order of doc_id below ``path``."""
-    size = _tokenizer(vocabulary).get_vocab_size()
+    """Encode every text and write the ids in order of doc_id below ``path``: one range of doc_id per file."""
+    ordered = (
+        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+        .repartitionByRange("doc_id")
+        .sortWithinPartitions("doc_id", "text")
+    )
     docs.sparkSession.dataSource.register(PackedIds)
-    ids = token_ids(docs, doc_id, text, vocabulary, end_id)
-    ids.write.format("packed_ids").mode("append").option("bits", bits_for(size)).save(path)
+    writer = ordered.write.format("packed_ids").mode("append").option("vocabulary", vocabulary)
+    if end_id is not None:
+        writer = writer.option("end_id", end_id)
+    writer.save(path)
 
 
 def read_packed(spark: SparkSession, path: str) -> DataFrame:
