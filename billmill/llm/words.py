@@ -74,12 +74,26 @@ def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
             start = end
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, inside: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span. ``inside`` may mark the same bytes, if no spans touch."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = ends - starts
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+    held = data[inside] if inside is not None else data[place + np.repeat(starts, lengths)]
+    terms = _BYTE_VALUES[held] * _powers(int(lengths.max()))[place]
+    return mix(np.add.reduceat(terms, first) + lengths.astype(np.uint64) * _EVEN)
+
+
 class Words:
     """The words of a slice of texts: ``starts`` and ``ends`` in ``data``, and each word's text."""
 
-    def __init__(self, data: np.ndarray, at: np.ndarray, separator: np.ndarray) -> None:
+    def __init__(
+        self, data: np.ndarray, at: np.ndarray, separator: np.ndarray | None, inside: np.ndarray | None = None
+    ) -> None:
         self.data, self.at = data, at
-        inside = ~separator[data]
+        inside = ~separator[data] if inside is None else inside
         before, after = np.zeros_like(inside), np.zeros_like(inside)
         before[1:], after[:-1] = inside[:-1], inside[1:]
         filled = at[:-1][at[:-1] < at[1:]]
@@ -98,13 +112,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        if not len(self):
-            return np.zeros(0, np.uint64)
-        lengths = self.ends - self.starts
-        first = np.cumsum(lengths) - lengths
-        place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-        terms = _BYTE_VALUES[self.data[self.inside]] * _powers(int(lengths.max()))[place]
-        return mix(np.add.reduceat(terms, first) + lengths.astype(np.uint64) * _EVEN)
+        return span_hashes(self.data, self.starts, self.ends, self.inside)
 
     def code_points(self) -> np.ndarray:
         """Code points in each word."""
