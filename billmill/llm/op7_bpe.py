@@ -309,8 +309,8 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabula
     return narrow.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
-def digests(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Number and SHA-256 of the ids, and SHA-256 of the text decoded from them."""
+def digests(docs: DataFrame, vocabulary: str = VOCABULARY, keep_ids: bool = False) -> DataFrame:
+    """Number and SHA-256 of the ids, and SHA-256 of the text decoded from them; ``ids`` as well on demand."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,12 +320,16 @@ def digests(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             ends = np.cumsum(counts)
             hashed = [hashlib.sha256(values[e - n : e].tobytes()).hexdigest() for n, e in zip(counts, ends)]
             decoded = [hashlib.sha256(s.as_buffer() or b"").hexdigest() for s in field(batch, "decoded")]
-            yield pa.RecordBatch.from_arrays(
-                [field(batch, "doc_id"), pa.array(counts.astype(np.int64)), pa.array(hashed), pa.array(decoded)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            columns = {
+                "doc_id": field(batch, "doc_id"),
+                "n_tokens": pa.array(counts.astype(np.int64)),
+                "ids_sha256": pa.array(hashed),
+                "decoded_sha256": pa.array(decoded),
+            }
+            yield pa.RecordBatch.from_pydict(columns | ({"ids": ids} if keep_ids else {}))
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema += ", ids array<int>" if keep_ids else ""
     return encode(docs, vocabulary=vocabulary).mapInArrow(run, schema)
 
 
