@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billmill.workspace import stored
+from billmill.llm.steps import stored
 
 
 def _figures(edges: DataFrame) -> tuple:

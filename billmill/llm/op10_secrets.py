@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billmill.workspace import stored
+from billmill.llm.steps import stored
 
 # Kind -> pattern and least length of the value. The order is the order of spans that start together.
 BASE = {

@@ -27,8 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billmill.llm.components import connected_components
+from billmill.llm.steps import stored
 from billmill.llm.words import LOWER, WHITE, Words, field, mix, slices, text_bytes, windows
-from billmill.workspace import stored
 
 SHINGLE, PERCENT = 5, 80
 BUCKETS = 5  # minimum hashes per member

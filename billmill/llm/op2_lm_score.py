@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from billmill.llm.steps import stored
 from billmill.llm.words import field, slices, text_bytes
-from billmill.workspace import stored
 
 ORDER = 5
 SMOOTHING = 8.0

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billmill.workspace import stored
+from billmill.llm.steps import stored
 
 WINDOW = 13
 GRAM = 6

@@ -18,7 +18,8 @@ from billmill.llm import op6_toxicity as toxicity
 from billmill.llm import op7_bpe as bpe
 from billmill.llm import op10_secrets as secrets
 from billmill.llm.ship import ship
-from billmill.workspace import new_folder, stored
+from billmill.llm.steps import stored
+from billmill.workspace import new_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
