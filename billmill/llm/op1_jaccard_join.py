@@ -2,7 +2,7 @@
 
 1. Each text becomes its set of word shingles (64-bit hashes). Equal sets are one member, named by the
    smallest doc_id that has it.
-2. Members that share a minimum hash are compared with the smallest member of that bucket only; what
+2. Members that share a minimum hash are compared with the most central member of that bucket only; what
    proves similar forms a group. A large group of near copies costs one comparison per member and bucket.
 3. The token-group matrix: members post the part of their set that every similar set must meet (the rarest
    shingles, by a bounded table of counts over all documents); a group posts the union of its members'
@@ -31,7 +31,7 @@ from billmill.llm.steps import stored
 from billmill.llm.words import LOWER, WHITE, Words, field, mix, slices, text_bytes, windows
 
 SHINGLE, PERCENT = 5, 80
-BUCKETS = 5  # minimum hashes per member
+BUCKETS = 12  # minimum hashes per member
 CELLS = 1 << 16  # counters of the frequency table, whatever the size of the corpus
 BLOCK = 256  # partners compared with one member in one step
 
@@ -179,16 +179,23 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
 
 
 def bucket_pairs(reps: DataFrame, percent: int) -> DataFrame:
-    """Each member with the smallest member of every bucket it is in."""
+    """Each member with the most central member of every bucket it is in.
+
+    Central is who shares the most bucket entries with others: of near copies, the one that the others were
+    made from or one close to it. A copy may miss the threshold to another copy and still reach that one.
+    """
     inside = reps.select("rep", "n", F.posexplode("buckets").alias("nth", "bucket"))
+    crowded = inside.groupBy("nth", "bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    inside = stored(inside.join(crowded, ["nth", "bucket"]), "buckets")
+    central = inside.groupBy("rep").agg(F.sum("members").alias("shared"))
     first = (
-        inside.groupBy("nth", "bucket")
-        .agg(F.min(F.struct("rep", "n")).alias("first"), F.count(F.lit(1)).alias("members"))
-        .where("members > 1")
+        inside.join(central, "rep")
+        .groupBy("nth", "bucket")
+        .agg(F.max(F.struct("shared", (-F.col("rep")).alias("rep"), "n")).alias("first"))
     )
-    pairs = inside.join(first, ["nth", "bucket"]).where("rep <> first.rep")
+    pairs = inside.join(first, ["nth", "bucket"]).where("rep <> -first.rep")
     return pairs.where(_fits(F.col("n"), F.col("first.n"), percent)).select(
-        F.col("first.rep").alias("a"), F.col("rep").alias("b")
+        (-F.col("first.rep")).alias("a"), F.col("rep").alias("b")
     )
 
 
@@ -234,7 +241,7 @@ def group_pairs(marked: DataFrame, reps: DataFrame, groups: DataFrame, percent:
     )
     possible = (
         queries.join(theirs, "token")
-        .where("grp <> other and (strong or other_strong) and n_low <= n")
+        .where("grp <> other and other_strong and n_low <= n")
         .where(100 * F.col("n_high") >= percent * F.col("n"))
         .select("rep", "n", "grp", "other", "n_low", "n_high")
         .distinct()

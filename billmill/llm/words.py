@@ -48,6 +48,8 @@ def _powers(n: int) -> np.ndarray:
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts and the n + 1 offsets between them; null is empty."""
+    if pa.types.is_null(texts.type):
+        texts = texts.cast(pa.string())
     if texts.null_count:
         texts = texts.fill_null("")
     wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
