@@ -8,7 +8,6 @@ from pyspark.sql import SparkSession
 
 from billmill.functions.dates import DATE_FORMAT
 from billmill.plans.warehouse import Load, run
-from billmill.session import shuffle_partitions_for
 
 
 def main() -> None:
@@ -24,9 +23,6 @@ def main() -> None:
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("billmill").getOrCreate()
-    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = shuffle_partitions_for(args.input_gb << 30, default)
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     load = Load(
         bills=args.bills,
         folder=args.folder.rstrip("/"),
@@ -35,6 +31,7 @@ def main() -> None:
         multi_line=args.multi_line,
         record_source=args.record_source,
         export=args.export,
+        input_bytes=args.input_gb << 30,
     )
     tables = run(spark, load)
     tables["load_checks"].orderBy("constraint").show(50, truncate=False)

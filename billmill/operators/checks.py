@@ -99,18 +99,28 @@ def null_report(df: DataFrame, required: Mapping[str, bool]) -> DataFrame:
     return counts.select(F.inline(lines))
 
 
-def fit_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
+def fit_contract(df: DataFrame, contract: T.StructType, strict: bool = False) -> DataFrame:
     """Project to the contract's columns and types; values that do not fit become NULL.
 
     Decimals are rounded to their scale and NULL when too large. Text longer than its VARCHAR is NULL,
-    not cut. ``misfit_report`` counts both, so a load can be refused before it loses anything.
+    not cut. ``misfit_report`` counts both, so a load can be refused before it loses anything; ``strict``
+    fails at the first such value, as a declared column would.
     """
 
     def fitted(field: T.StructField):
         value = col(field.name)
         if isinstance(field.dataType, T.VarcharType):
-            return F.when(F.length(value) <= field.dataType.length, value).alias(field.name)
-        return value.try_cast(field.dataType).alias(field.name)
+            fits = F.when(F.length(value) <= field.dataType.length, value)
+        else:
+            fits = value.try_cast(field.dataType)
+        if strict:
+            lost = value.isNotNull() & fits.isNull()
+            said = F.concat(F.lit(f"{field.name} does not fit its column: "), value.cast("string"))
+            fits = F.when(lost, F.raise_error(said).cast(fits_type(field))).otherwise(fits)
+        return fits.alias(field.name)
+
+    def fits_type(field: T.StructField):
+        return T.StringType() if isinstance(field.dataType, T.VarcharType) else field.dataType
 
     return df.select(*[fitted(field) for field in contract if field.name in df.columns])
 

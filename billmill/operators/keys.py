@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from billmill.functions.text import col
-from billmill.workspace import shared_folder
+from billmill.workspace import stored
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number in the lower 33 bits
 
@@ -18,18 +18,18 @@ def number_rows(df: DataFrame, order: Sequence[str], key: str, key_type: str = "
     sorted in parallel, and each range starts after the rows of the ranges before it. ``order`` should
     be a total order: then reruns give the same keys, and a hot value is split over several ranges.
 
-    The placed rows are checkpointed, so the offsets and the keys come from the very same ranges even if
-    an executor is lost. The offsets are one row per range, few enough to broadcast.
+    The placed rows are written to the shared folder, so the offsets and the keys come from the very same
+    ranges even if an executor is lost, and the counts read one column. ``df`` is read twice (once to find
+    the ranges): store it first if it is costly. The offsets are one row per range, few enough to broadcast.
     """
-    shared_folder(df.sparkSession)
     by = [col(name).asc_nulls_first() for name in order]
     placed = (
         df.repartitionByRange(*by)
         .sortWithinPartitions(*by)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_range", F.shiftright("_at", _ROW_BITS))
-        .checkpoint()
     )
+    placed = stored(placed, "numbered")
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_range")

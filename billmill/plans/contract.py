@@ -10,17 +10,21 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from billmill.functions.dates import is_weekend
 from billmill.functions.text import col
-from billmill.operators.checks import fit_contract
+from billmill.operators.checks import fit_contract, misfit_report
 from billmill.operators.joins import lookup_key
 from billmill.operators.keys import number_rows
 from billmill.schema import CHARGES, CONTRACT, STAGED_KWH, STD_DATE
+from billmill.workspace import stored
 
 # Contract attribute -> staging column; None where bills have no such value.
 LOCATION = {"latitude": None, "longitude": None, "borough": "Borough", "zip_code": None}
 METER_TYPE = {"meter_type_name": "Meter AMR"}
+CUSTOMER = {"customer_id": "Account Name", "borough": "Borough"}
+MEASURES = {"kwh_consumed": STAGED_KWH, "total_cost_usd": CHARGES}
 SERVICE_CLASS = {"service_class": "Rate Class", "rate_code": None, "description": None}
 
 
@@ -50,7 +54,7 @@ def dim_calendar(staging: DataFrame) -> DataFrame:
         F.date_format(day, "EEEE").alias("weekday"),
         is_weekend(day).alias("is_weekend"),
     )
-    return fit_contract(full, CONTRACT["dim_date"])
+    return fit_contract(full, CONTRACT["dim_date"], strict=True)
 
 
 def minutes_of_day(spark: SparkSession) -> DataFrame:
@@ -65,7 +69,32 @@ def dim_time(moments: DataFrame, at: str) -> DataFrame:
     keyed = seen.select(
         (F.col("hour") * 60 + F.col("minute") + 1).alias("time_key"), "hour", "minute", clock.alias("clock_time")
     )
-    return fit_contract(keyed, CONTRACT["dim_time"])
+    return fit_contract(keyed, CONTRACT["dim_time"], strict=True)
+
+
+def misfits(staging: DataFrame) -> DataFrame:
+    """One row per contract table and attribute that bills carry: the staged values that do not fit it.
+
+    One pass over staging, before anything is stored from it.
+    """
+    tables = {
+        "dim_location": LOCATION,
+        "dim_meter_type": METER_TYPE,
+        "dim_service_class": SERVICE_CLASS,
+        "dim_customer": CUSTOMER,
+        "fact_electric_consumption": MEASURES,
+    }
+    sources = {
+        f"{table}.{name}": (CONTRACT[table][name].dataType, source)
+        for table, attributes in tables.items()
+        for name, source in _available(staging, attributes).items()
+        if source is not None
+    }
+    renamed = staging.select(*[col(source).alias(name) for name, (_, source) in sources.items()])
+    declared = T.StructType([T.StructField(name, kind) for name, (kind, _) in sources.items()])
+    report = misfit_report(renamed, declared)
+    place = F.split("column_name", r"\.")
+    return report.select(F.get(place, 0).alias("table_name"), F.get(place, 1).alias("column_name"), "misfits")
 
 
 def _entity(staging: DataFrame, table: str, sources: dict[str, str | None]) -> DataFrame:
@@ -81,7 +110,7 @@ def _entity(staging: DataFrame, table: str, sources: dict[str, str | None]) -> D
             for name, source in sources.items()
         ]
     )
-    members = fit_contract(attributes, contract).distinct()
+    members = fit_contract(attributes, contract, strict=True).distinct()
     return number_rows(members, list(sources), key, "int").select(*contract.fieldNames())
 
 
@@ -110,7 +139,7 @@ def dim_customer(staging: DataFrame) -> DataFrame:
     )
     blank = F.lit(None).cast("string")
     members = fit_contract(
-        accounts.withColumns({"customer_type": blank, "zip_code": blank, "account_status": blank}), contract
+        accounts.withColumns({"customer_type": blank, "zip_code": blank, "account_status": blank}), contract, strict=True
     )
     return number_rows(members, ["customer_id"], "customer_key", "int").select(*contract.fieldNames())
 
@@ -152,5 +181,11 @@ def fact_rows(
 
 
 def load_fact(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Number the facts in ``order`` and fit them to the contract."""
-    return fit_contract(number_rows(rows, order, "fact_key"), CONTRACT["fact_electric_consumption"])
+    """Fit the facts to the contract and number them in ``order``.
+
+    They are stored first: numbering reads its input twice, and the joins should run once.
+    """
+    contract = CONTRACT["fact_electric_consumption"]
+    kept = T.StructType([*contract.fields[1:], *[rows.schema[name] for name in order]])
+    joined = stored(fit_contract(rows, kept, strict=True), "fact-rows")
+    return number_rows(joined, order, "fact_key").select(*contract.fieldNames())

@@ -23,6 +23,7 @@ from billmill.operators.dedup import keep_first
 from billmill.operators.median import exact_median, flag_above
 from billmill.schema import BILL_DATE, DIMENSIONS, DUPLICATE_KEYS, KWH, MEASURES, STAGING_RENAMES, STD_DATE
 from billmill.sources.bill_files import FILE_ORDER
+from billmill.workspace import stored
 
 
 _LISTED = (BILL_DATE, *DIMENSIONS, *MEASURES)
@@ -73,11 +74,11 @@ def add_metrics(bills: DataFrame) -> DataFrame:
 def build_staging(
     raw: DataFrame, order: Sequence[str] = FILE_ORDER, date_format: str = DATE_FORMAT
 ) -> DataFrame:
-    """The whole way, lazily. Columns that a reader leaves out cost nothing: without the flag, the
-    median is not computed; the median itself reads only keys, order and measures.
+    """The whole way. The first bills are stored once, so that the raw bills are parsed and deduplicated
+    once; the median then reads one stored column, and the metrics are added on the way to the reader.
     """
-    bills = clean_bills(raw, order, date_format).transform(first_bills, order).transform(add_metrics)
-    return bills.drop(*order)
+    bills = clean_bills(raw, order, date_format).transform(first_bills, order).drop(*order)
+    return add_metrics(stored(bills, "first-bills"))
 
 
 def staging_names(df: DataFrame) -> DataFrame:
@@ -86,12 +87,16 @@ def staging_names(df: DataFrame) -> DataFrame:
 
 
 def stage_counts(
-    raw: DataFrame, order: Sequence[str] = FILE_ORDER, date_format: str = DATE_FORMAT
+    raw: DataFrame,
+    staged: DataFrame,
+    order: Sequence[str] = FILE_ORDER,
+    date_format: str = DATE_FORMAT,
 ) -> DataFrame:
-    """One row per stage: its rows and columns, all in one pass over the raw bills.
+    """One row per stage: its rows and columns. ``staged`` is counted as it is stored.
 
-    The row-level stages are conditional counts. The deduplicated stage is a distinct count of the
-    keys, which Spark pre-aggregates per task.
+    The row-level stages are conditional counts over the date and measures of the raw bills. They are not
+    observed while staging is written: tasks before a shuffle that run again after a lost executor would
+    count their rows twice.
     """
     marked = raw.transform(parse_bill_date, date_format)
     dated = col(STD_DATE).isNotNull()
@@ -100,7 +105,6 @@ def stage_counts(
     measured = dated
     if measures:
         measured = dated & F.coalesce(*[col(m) for m in measures]).isNotNull()
-    keys = present(marked, DUPLICATE_KEYS)
 
     n_raw = len(raw.columns) - len(order)
     n_clean = len(marked.columns) - len(order)
@@ -110,8 +114,8 @@ def stage_counts(
         F.count(F.lit(1)).alias("raw"),
         F.count_if(dated).alias("dated"),
         F.count_if(measured).alias("measured"),
-        F.count_distinct(*[F.when(measured, col(k)) for k in keys]).alias("staged"),
     )
+    counts = counts.withColumn("staged", staged.agg(F.count(F.lit(1))).scalar())
     stages = {"raw": n_raw, "dated": n_clean, "measured": n_clean, "staged": n_final}
     lines = [
         F.struct(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billmill.functions.dates import DATE_FORMAT
-from billmill.operators.checks import foreign_key_report, misfit_report, primary_key_report
+from billmill.operators.checks import duplicate_keys, foreign_key_report, null_report, primary_key_report
 from billmill.plans import contract, star
 from billmill.plans.staging import build_staging, stage_counts, staging_names
 from billmill.schema import (
@@ -20,9 +20,9 @@ from billmill.schema import (
     DUPLICATE_KEYS,
     STAGING_RENAMES,
 )
-from billmill.session import tune
+from billmill.session import Sizing, sized, tune
 from billmill.sources.bill_files import land_raw, read_bills_csv, write_bills_csv
-from billmill.sources.tables import create_namespace, replace_table
+from billmill.sources.tables import Version, create_namespace, publish, write_version
 
 
 @dataclass
@@ -36,23 +36,39 @@ class Load:
     multi_line: bool = False
     record_source: str = "monthly_bills"
     export: str | None = None
+    input_bytes: int = 0
 
 
-def _refuse_misfits(rows: DataFrame, table: str) -> None:
-    """Stop before values are lost; one short line per contract column comes back."""
-    bad = misfit_report(rows, CONTRACT[table]).where("misfits > 0").collect()
+def _refuse(found: DataFrame, said: str) -> None:
+    """Stop before anything is published; ``found`` has one short line per column or constraint."""
+    bad = found.where(f"{found.columns[-1]} > 0").collect()
     if bad:
-        found = ", ".join(f"{line.column_name}: {line.misfits}" for line in bad)
-        raise ValueError(f"values that do not fit {table}: {found}")
+        raise ValueError(f"{said}: " + ", ".join(": ".join(map(str, line)) for line in bad))
 
 
-def load_staging(spark: SparkSession, load: Load) -> DataFrame:
+class _Store:
+    """Writes versions and publishes their names together, after all checks."""
+
+    def __init__(self) -> None:
+        self.versions: list[Version] = []
+
+    def __call__(self, df: DataFrame, table: str, folder: str) -> DataFrame:
+        self.versions.append(write_version(df, table, folder))
+        return self.versions[-1].rows
+
+    def publish(self) -> None:
+        for version in self.versions:
+            publish(version)
+
+
+def load_staging(spark: SparkSession, load: Load, store: _Store) -> DataFrame:
     bills = read_bills_csv(spark, load.bills, load.multi_line)
-    raw = land_raw(bills, f"{load.folder}/raw")
-    staging = build_staging(raw, date_format=load.date_format)
-    stored = replace_table(staging_names(staging), f"{load.namespace}.electric_staging", load.folder)
-    counts = stage_counts(raw, date_format=load.date_format)
-    replace_table(counts, f"{load.namespace}.stage_row_counts", load.folder)
+    with sized(spark, Sizing(load.input_bytes)):
+        raw = land_raw(bills, f"{load.folder}/raw")
+        staging = staging_names(build_staging(raw, date_format=load.date_format))
+        stored = store(staging, f"{load.namespace}.electric_staging", load.folder)
+    counts = stage_counts(raw, stored, date_format=load.date_format)
+    store(counts, f"{load.namespace}.stage_row_counts", load.folder)
     if load.export:
         # The file keeps the names of the bills; only tables need other ones.
         original = {table_name: name for name, table_name in STAGING_RENAMES.items()}
@@ -60,32 +76,40 @@ def load_staging(spark: SparkSession, load: Load) -> DataFrame:
     return stored
 
 
-def load_star(staging: DataFrame, load: Load) -> dict[str, DataFrame]:
+_DIMENSIONS = {
+    "dim_development": (DIM_DEVELOPMENT, "development_key"),
+    "dim_meter": (DIM_METER, "meter_key"),
+    "dim_vendor": (DIM_VENDOR, "vendor_key"),
+}
+
+
+def load_star(staging: DataFrame, load: Load, store: _Store) -> dict[str, DataFrame]:
     """The four dimensions and the usage fact; a dimension whose columns are absent is left out."""
 
-    def store(name: str, table: DataFrame) -> DataFrame:
-        return replace_table(table, f"{load.namespace}.{name}", load.folder)
+    def keep(name: str, table: DataFrame) -> DataFrame:
+        return store(table, f"{load.namespace}.{name}", load.folder)
 
-    tables = {"dim_date": store("dim_date", star.build_dim_date(staging))}
-    dimensions = {
-        "dim_development": (DIM_DEVELOPMENT, "development_key"),
-        "dim_meter": (DIM_METER, "meter_key"),
-        "dim_vendor": (DIM_VENDOR, "vendor_key"),
-    }
-    for name, (columns, key) in dimensions.items():
+    tables = {"dim_date": keep("dim_date", star.build_dim_date(staging))}
+    for name, (columns, key) in _DIMENSIONS.items():
         if set(columns) <= set(staging.columns):
-            tables[name] = store(name, star.build_dimension(staging, columns, key))
-    tables["fact_borough_year_usage"] = store("fact_borough_year_usage", star.usage_by_year(staging))
+            tables[name] = keep(name, star.build_dimension(staging, columns, key))
+    tables["fact_borough_year_usage"] = keep("fact_borough_year_usage", star.usage_by_year(staging))
     return tables
 
 
-def load_contract(staging: DataFrame, load: Load) -> dict[str, DataFrame]:
-    """The contract tables in a namespace of their own: its date dimension has other columns."""
-    namespace, folder = f"{load.namespace}_contract", f"{load.folder}/contract"
+def left_out(staging: DataFrame) -> DataFrame:
+    """One line per star dimension that the bills lack columns for, with the number of these columns."""
+    lines = [
+        (f"dimension {name} left out, columns missing", len(missing))
+        for name, (columns, _) in _DIMENSIONS.items()
+        if (missing := set(columns) - set(staging.columns))
+    ]
+    return staging.sparkSession.createDataFrame(lines, "constraint string, violations long")
 
-    def store(name: str, table: DataFrame) -> DataFrame:
-        return replace_table(table, f"{namespace}.{name}", folder)
 
+def load_contract(staging: DataFrame, load: Load, store: _Store) -> dict[str, DataFrame]:
+    """The contract tables in a namespace of their own: its date dimension has other columns."""
+    namespace, folder = f"{load.namespace}_contract", f"{load.folder}/contract"
     create_namespace(staging.sparkSession, namespace, f"{folder}/namespace")
     tables = {
         "dim_date": contract.dim_calendar(staging),
@@ -95,7 +119,7 @@ def load_contract(staging: DataFrame, load: Load) -> dict[str, DataFrame]:
         "dim_service_class": contract.dim_service_class(staging),
         "dim_customer": contract.dim_customer(staging),
     }
-    tables = {name: store(name, table) for name, table in tables.items()}
+    tables = {name: store(table, f"{namespace}.{name}", folder) for name, table in tables.items()}
     # The keys of deduplication tell staged bills apart, so they order the facts.
     order = [name for name in DUPLICATE_KEYS if name in staging.columns]
     rows = contract.fact_rows(
@@ -107,12 +131,38 @@ def load_contract(staging: DataFrame, load: Load) -> dict[str, DataFrame]:
         load.record_source,
         keep=order,
     )
-    _refuse_misfits(rows, "fact_electric_consumption")
     facts = contract.load_fact(rows, order)
-    tables["fact_electric_consumption"] = store("fact_electric_consumption", facts)
+    name = "fact_electric_consumption"
+    tables[name] = store(facts, f"{namespace}.{name}", folder)
     return tables
 
 
+def shared_keys(tables: dict[str, DataFrame]) -> DataFrame | None:
+    """The natural keys of developments that stand for several members (with other amps, funding or codes).
+
+    A note, no violation: the join reduces members to their keys, so no bill counts twice.
+    """
+    if "dim_development" not in tables:
+        return None
+    twice = duplicate_keys(tables["dim_development"], list(star.DEVELOPMENT_KEY.values()))
+    return twice.agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("join keys of dim_development with several members").alias("constraint"), "violations"
+    )
+
+
+def check_required(tables: dict[str, DataFrame]) -> DataFrame:
+    """One line per required contract column with its NULLs."""
+    lines = None
+    for name, table in tables.items():
+        required = {f.name: True for f in CONTRACT[name] if not f.nullable and f.name in table.columns}
+        report = null_report(table, required).select(
+            F.concat(F.lit(f"not null {name}."), "column_name").alias("constraint"),
+            F.col("null_count").alias("violations"),
+        )
+        lines = report if lines is None else lines.unionByName(report)
+    return lines
+
+
 def check_contract(tables: dict[str, DataFrame]) -> DataFrame:
     """One line per declared key with its number of violating rows."""
     primary = primary_key_report({n: (t, [t.columns[0]]) for n, t in tables.items()}).select(
@@ -132,11 +182,25 @@ def check_contract(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def run(spark: SparkSession, load: Load) -> dict[str, DataFrame]:
-    """Load everything and return the stored tables by name."""
+    """Load everything and return the stored tables by name.
+
+    Names move only after every table is written and every check has passed; a refused or failed load
+    leaves all earlier tables as they were.
+    """
     tune(spark)
     create_namespace(spark, load.namespace, f"{load.folder}/namespace")
-    staging = load_staging(spark, load)
-    tables = {"electric_staging": staging, **load_star(staging, load)}
-    declared = load_contract(staging, load)
-    checks = replace_table(check_contract(declared), f"{load.namespace}.load_checks", load.folder)
-    return tables | {f"contract.{name}": table for name, table in declared.items()} | {"load_checks": checks}
+    store = _Store()
+    staging = load_staging(spark, load, store)
+    _refuse(contract.misfits(staging), "values that do not fit the contract")
+    tables = {"electric_staging": staging, **load_star(staging, load, store)}
+    declared = load_contract(staging, load, store)
+    checks = check_contract(declared).unionByName(check_required(declared))
+    checks = store(checks, f"{load.namespace}.load_checks", load.folder)
+    _refuse(checks, "constraints violated")
+    notes = left_out(staging)
+    if (keys := shared_keys(tables)) is not None:
+        notes = notes.unionByName(keys)
+    notes = store(notes, f"{load.namespace}.load_notes", load.folder)
+    store.publish()
+    declared = {f"contract.{name}": table for name, table in declared.items()}
+    return tables | declared | {"load_checks": checks, "load_notes": notes}

@@ -39,7 +39,7 @@ from billmill.schema import (
 from billmill.session import tune
 from billmill.sources.bill_files import land_raw, read_bills_csv, read_typed_csv, write_bills_csv
 from billmill.sources.sales_bills import SALES_ORDER, read_sales_bills
-from billmill.sources.tables import create_namespace, replace_table
+from billmill.sources.tables import create_namespace, replace_table, use_namespace
 from billmill.workspace import new_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,7 +141,13 @@ def sink_replace_table(spark, folder):
         staging, star.build_dim_date(staging), star.build_dim_development(staging)
     )
     replace_table(star_form, table, path)
-    return replace_table(star.usage_by_year(staging), table, path)
+    replace_table(star.usage_by_year(staging), table, path)
+    before = spark.catalog.currentDatabase()
+    use_namespace(spark, "billmill_sink")
+    try:
+        return spark.table("fact_borough_year_usage")
+    finally:
+        use_namespace(spark, before)
 
 
 @_named("build_staging")
@@ -378,7 +384,8 @@ def high_usage_flag(spark, folder):
 
 @_query
 def stage_row_counts(spark, folder):
-    return stage_counts(_bills(spark, folder), SALES_ORDER)
+    raw = stored(_bills(spark, folder), "raw")
+    return stage_counts(raw, stored(build_staging(raw, SALES_ORDER), "staging"), SALES_ORDER)
 
 
 # --- Previews ----------------------------------------------------------------------------------------

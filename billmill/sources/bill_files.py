@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,8 @@ from billmill.functions.text import col, null_if_na
 
 # Where a row stands in its input: read once at the scan, kept with the row from then on.
 FILE_ORDER = ("_source_file", "_source_block", "_source_row")
+_MALFORMED = "_malformed_row"
+_MARK = "\u0002"
 
 
 def read_bills_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -18,32 +22,49 @@ def read_bills_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
 
     No type inference: that would read the input twice and turn codes such as 073 into numbers. Only
     the header is read to learn the columns; a file with another header fails instead of shifting
-    columns. ``multi_line`` allows line breaks inside quotes but makes a file one task.
+    columns. A row with fewer cells than the header gets NULL for the rest, one with more cells fails.
+    ``multi_line`` allows line breaks inside quotes but makes a file one task.
 
-    Row ids grow inside a block, and (file, block, id) orders blocks as the file does, so the order is
+    Files come in the order of the first number in their names (part-99999 before part-100000), then of
+    their paths. Row ids grow inside a block, and (file, block, id) orders blocks as the file does, so the order is
     the same however Spark packs blocks into tasks.
     """
     options = {
         "header": True,
         "escape": '"',
-        "mode": "FAILFAST",
+        "columnNameOfCorruptRecord": _MALFORMED,
         "multiLine": multi_line,
     }
     header = spark.read.options(**options, inferSchema=False).csv(path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, _MALFORMED]])
     bills = spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
+    # A row that is not as long as the header is read once more, with a mark behind it: the mark takes a
+    # place of the header unless the row is too long or a quote in it stays open.
+    wide = ", ".join(f"c{i} STRING" for i in range(len(header)))
+    again = F.from_csv(F.concat(F.col(_MALFORMED), F.lit(f",{_MARK}")), wide, {"escape": '"', "multiLine": "true"})
+    short = F.coalesce(F.array_contains(F.array(*[again[f"c{i}"] for i in range(len(header))]), _MARK), F.lit(False))
+    said = F.concat(F.lit("more cells than the header, or an open quote: "), F.col(_MALFORMED))
+    bad = F.col(_MALFORMED).isNotNull() & ~short
+    first = F.when(bad, F.raise_error(said).cast("string")).otherwise(col(header[0])).alias(header[0])
+    path_text = F.col("_metadata.file_path")
+    number = F.regexp_extract(F.regexp_extract(path_text, "[^/]*$", 0), r"^\D*(\d+)", 1)
     return bills.select(
-        "*",
-        F.col("_metadata.file_path").alias("_source_file"),
+        first,
+        *[col(name) for name in header[1:]],
+        F.concat(F.lpad(number, 20, "0"), F.lit(" "), path_text).alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_source_block"),
         F.monotonically_increasing_id().alias("_source_row"),
     )
 
 
 def land_raw(bills: DataFrame, folder: str) -> DataFrame:
-    """Keep an unmodified copy in columnar form; later steps read only the columns they need."""
-    bills.write.mode("overwrite").parquet(folder)
-    return bills.sparkSession.read.schema(bills.schema).parquet(folder)
+    """Keep an unmodified copy in columnar form; later steps read only the columns they need.
+
+    Each copy is a new version below ``folder``: an earlier one stays until it is removed on purpose.
+    """
+    version = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    bills.write.parquet(version)
+    return bills.sparkSession.read.schema(bills.schema).parquet(version)
 
 
 def write_bills_csv(df: DataFrame, folder: str) -> None:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,16 +23,60 @@ def use_namespace(spark: SparkSession, name: str) -> None:
     spark.catalog.setCurrentDatabase(name)
 
 
+@dataclass(frozen=True)
+class Version:
+    """A written table that no name points to yet."""
+
+    table: str
+    path: str
+    rows: DataFrame
+
+
+def write_version(df: DataFrame, table: str, folder: str) -> Version:
+    """Write the rows to a new folder below ``folder``. Readers of ``table`` notice nothing."""
+    path = f"{folder.rstrip('/')}/{table.split('.')[-1]}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return Version(table, path, df.sparkSession.read.schema(df.schema).parquet(path))
+
+
+def publish(version: Version) -> DataFrame:
+    """Let the name point to the version and return the table.
+
+    A table with the same columns only changes its place, in one step of the catalog: the name is never
+    missing. With other columns it is dropped and created. The last writer wins.
+    """
+    spark, name = version.rows.sparkSession, _quoted(version.table)
+    if spark.catalog.tableExists(version.table):
+        if spark.table(version.table).schema.simpleString() == version.rows.schema.simpleString():
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{version.path}'")
+            spark.catalog.refreshTable(version.table)
+            return spark.table(version.table)
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(version.table, path=version.path, source="parquet", schema=version.rows.schema)
+    return spark.table(version.table)
+
+
 def replace_table(df: DataFrame, table: str, folder: str) -> DataFrame:
     """Make ``table`` hold exactly the rows of ``df`` and return the stored table.
 
-    The rows go to a new folder below ``folder`` first, and only then does the name move there. A
-    failed job leaves the old table as it was, and ``df`` may read the table it replaces. The last
-    writer wins.
+    A failed job leaves the old table as it was, and ``df`` may read the table it replaces.
+    """
+    return publish(write_version(df, table, folder))
+
+
+def old_versions(spark: SparkSession, tables: Sequence[str], folder: str) -> list[str]:
+    """The version folders below ``folder`` that none of ``tables`` points to, for removal by an operator.
+
+    Readers that began before a replacement may still read one of them.
     """
-    spark = df.sparkSession
-    version = f"{folder.rstrip('/')}/{table.split('.')[-1]}/{uuid.uuid4().hex}"
-    df.write.parquet(version)
-    spark.sql(f"DROP TABLE IF EXISTS {_quoted(table)}")
-    spark.catalog.createTable(table, path=version, source="parquet", schema=df.schema)
-    return spark.table(table)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for table in tables:
+        place = hadoop.Path(f"{folder.rstrip('/')}/{table.split('.')[-1]}")
+        store = place.getFileSystem(configuration)
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where("col_name = 'Location'").collect()
+        used = {row.data_type.rstrip("/").rsplit("/", 1)[-1] for row in rows}
+        if store.exists(place):
+            found += [s.getPath().toString() for s in store.listStatus(place) if s.getPath().getName() not in used]
+    return sorted(found)

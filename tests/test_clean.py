@@ -203,14 +203,14 @@ def test_dropping_empty_bills_first_gives_the_same(bills):
 
 
 def test_counts_per_stage(bills):
-    rows = stage_counts(bills, ORDER).orderBy("place").collect()
+    staging = build_staging(bills, ORDER)
+    rows = stage_counts(bills, staging, ORDER).orderBy("place").collect()
     assert [(r.stage, r.row_count, r.column_count) for r in rows] == [
         ("raw", 10, 6),
         ("dated", 9, 11),
         ("measured", 7, 11),
         ("staged", 4, 15),
     ]
-    staging = build_staging(bills, ORDER)
     assert (staging.count(), len(staging.columns)) == (4, 15)
 
 

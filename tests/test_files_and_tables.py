@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from billmill.plans.staging import build_staging, clean_bills, first_bills
 from billmill.sources.bill_files import FILE_ORDER, land_raw, read_bills_csv, read_typed_csv, write_bills_csv
-from billmill.sources.splits import spread
 from billmill.sources.tables import create_namespace, replace_table, use_namespace
 from billmill.workspace import new_folder, shared_folder, stored
 
@@ -122,13 +121,43 @@ def test_shared_folder(spark):
     assert stored(names, "odd-names").collect() == names.collect()
 
 
-def test_spread_only_small_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread(one, "id").rdd.getNumPartitions() == cores
-    assert spread(one, "id").count() == 100
-    many = spark.range(0, 100, 1, cores + 1)
-    assert spread(many, "id") is many
+def test_short_rows_are_filled_and_long_rows_fail(spark, tmp_path):
+    short = write(tmp_path / "short", "a.csv", HEADER + '01/26/2010,A,1\n01/27/2010,"B, C",2,5,z\n')
+    rows = read_bills_csv(spark, short).orderBy("_source_row").drop(*FILE_ORDER).collect()
+    assert [tuple(r) for r in rows] == [("01/26/2010", "A", "1", None, None), ("01/27/2010", "B, C", "2", "5", "z")]
+    for line in ("01/26/2010,A,1,5,z,more\n", "01/26/2010,A,1,5,z,\n"):
+        path = write(tmp_path / "long", "a.csv", HEADER + line)
+        with pytest.raises(Exception, match="more cells than the header"):
+            read_bills_csv(spark, path).collect()
+
+
+def test_files_come_in_the_order_of_their_numbers(spark, tmp_path):
+    write(tmp_path / "in", "part-100000.csv", HEADER + "01/26/2010,A,1,5,late\n")
+    path = write(tmp_path / "in", "part-99999.csv", HEADER + "01/26/2010,A,1,5,early\n")
+    kept = first_bills(clean_bills(read_bills_csv(spark, path))).collect()
+    assert [row["Remark"] for row in kept] == ["early"]
+
+
+def test_a_replacement_never_hides_the_name(spark, tmp_path):
+    from billmill.sources.tables import old_versions, publish, write_version
+
+    create_namespace(spark, "swap_test", str(tmp_path / "ns"))
+    old = replace_table(spark.range(3), "swap_test.t", str(tmp_path / "tables"))
+    assert old.count() == 3
+    waiting = write_version(spark.range(5), "swap_test.t", str(tmp_path / "tables"))
+    assert spark.table("swap_test.t").count() == 3  # written, not yet named
+    assert publish(waiting).count() == spark.table("swap_test.t").count() == 5
+    assert len(old_versions(spark, ["swap_test.t"], str(tmp_path / "tables"))) == 1
+    wider = replace_table(spark.range(2).selectExpr("id", "id AS other"), "swap_test.t", str(tmp_path / "tables"))
+    assert wider.columns == spark.table("swap_test.t").columns == ["id", "other"]
+
+
+def test_raw_copies_are_versions(spark, tmp_path):
+    path = write(tmp_path / "in", "a.csv", HEADER + "01/26/2010,A,1,5,z\n")
+    first = land_raw(read_bills_csv(spark, path), str(tmp_path / "raw"))
+    write(tmp_path / "in", "a.csv", HEADER + "01/27/2010,A,1,6,y\n01/28/2010,A,1,6,y\n")
+    second = land_raw(read_bills_csv(spark, path), str(tmp_path / "raw"))
+    assert (first.count(), second.count()) == (1, 2)
 
 
 def test_staging_of_a_file(spark, tmp_path):

@@ -44,8 +44,11 @@ def test_contract_tables(spark, loaded):
 
 
 def test_nothing_violates_the_contract(loaded):
-    checks = loaded[1]["load_checks"].collect()
-    assert len(checks) == 12 and all(line.violations == 0 for line in checks)
+    checks = {line.constraint: line.violations for line in loaded[1]["load_checks"].collect()}
+    assert not any(checks.values())
+    assert {"primary key of dim_date", "foreign key location_key"} <= set(checks)
+    assert sum(name.startswith("not null") for name in checks) == 8
+    assert [line.violations for line in loaded[1]["load_notes"].collect()] == [10]
 
 
 def test_running_again_replaces_everything(spark, loaded):
@@ -69,6 +72,30 @@ def test_values_that_do_not_fit_stop_the_load(spark, tmp_path):
         run(spark, load)
 
 
+@pytest.mark.parametrize("name", ["Borough", "Meter AMR", "Rate Class", "Account Name"])
+def test_long_text_stops_the_load_before_any_table_moves(spark, tmp_path, name):
+    columns = ["Service End Date", "Development Name", "Borough", "Meter Number", "Meter AMR", "Rate Class", "Account Name"]
+    columns += ["Consumption (KWH)", "Current Charges"]
+    good = dict(zip(columns, ["01/26/2010", "A", "Q", "1", "AMR", "R", "acc", "10", "5"]))
+    namespace = "long_" + name.replace(" ", "_").lower()
+
+    def load(**other):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        lines = [good, good | {"Meter Number": "2"} | other]
+        text = "\n".join([",".join(columns), *[",".join(line.values()) for line in lines]]) + "\n"
+        (tmp_path / "in" / "a.csv").write_text(text)
+        return run(spark, Load(str(tmp_path / "in"), str(tmp_path / "tables"), namespace))
+
+    load()
+    before = {t: sorted(map(str, spark.table(f"{namespace}.{t}").collect())) for t in ("electric_staging", "dim_date")}
+    with pytest.raises(ValueError, match="values that do not fit the contract.*: 1"):
+        load(**{name: "x" * 60, "Service End Date": "02/26/2010"})
+    after = {t: sorted(map(str, spark.table(f"{namespace}.{t}").collect())) for t in before}
+    assert after == before
+    customers = spark.table(f"{namespace}_contract.dim_customer")
+    assert customers.count() == customers.select("customer_id").distinct().count() == 1
+
+
 def test_few_columns_still_load(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text(
@@ -79,3 +106,4 @@ def test_few_columns_still_load(spark, tmp_path):
     facts = tables["contract.fact_electric_consumption"].orderBy("fact_key").collect()
     assert [(f.fact_key, f.date_key, f.location_key, f.meter_type_key) for f in facts] == [(1, 1, 1, None), (2, 2, 2, None)]
     assert all(line.violations == 0 for line in tables["load_checks"].collect())
+    assert {line.constraint.split()[1] for line in tables["load_notes"].collect()} == {"dim_development", "dim_meter", "dim_vendor"}

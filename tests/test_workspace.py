@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from billmill.session import shuffle_partitions_for
+from billmill.session import Sizing, sized
 from billmill.workspace import new_folder, shared_folder
 
 
@@ -41,6 +41,22 @@ def test_only_local_sessions_fall_back_to_a_temporary_folder():
     assert shared_folder(session) == shared_folder(session) == session.sparkContext.folder
 
 
-def test_shuffles_grow_with_the_input():
-    assert shuffle_partitions_for(0, 200) == 200
-    assert shuffle_partitions_for(100 << 40, 200) == (100 << 40) // (128 << 20)
+def test_a_shuffle_of_100_tb_stays_within_reach():
+    sizing = Sizing(100 << 40)
+    assert sizing.tasks == 102_400
+    assert sizing.shuffle_blocks < 1.1e10
+    assert sizing.index_bytes < 100e9 and sizing.index_bytes // sizing.tasks < 1e6
+    assert sizing.settings(200) == {
+        "spark.sql.shuffle.partitions": "102400",
+        "spark.sql.files.maxPartitionBytes": str(1 << 30),
+    }
+
+
+def test_small_inputs_and_other_shuffles_keep_the_settings(spark):
+    name = "spark.sql.shuffle.partitions"
+    own = spark.conf.get(name)
+    with sized(spark, Sizing(0)):
+        assert spark.conf.get(name) == own
+    with sized(spark, Sizing(50 << 30)):
+        assert spark.conf.get(name) == "50"
+    assert spark.conf.get(name) == own
