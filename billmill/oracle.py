@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from billmill.schema import CONTRACT, DIM_DEVELOPMENT, DIM_METER, DIM_VENDOR, DIMENSIONS, MEASURES, NA_TOKENS
+from billmill.schema import CONTRACT, DIM_DEVELOPMENT, DIM_METER, DIM_VENDOR, DIMENSIONS, MEASURES
 
 _DATE = "Service End Date"
-_NA_LIST = ", ".join(f"'{token}'" for token in NA_TOKENS)
+# Fixed values, listed here on their own: the texts that stand for no value.
+_NO_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>"]
+_NO_VALUES += ["N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+_NA_LIST = ", ".join(f"'{token}'" for token in _NO_VALUES)
 
 _EMPTY = "l_orderkey % 53 = 0"
 _CELLS = {
@@ -266,6 +269,23 @@ SELECT "UMIS BILL ID", "BillDate_Std", {_PARTS} FROM parsed""",
         "na_tokens": f"""WITH {_BILLS}
 SELECT {", ".join(f"{_na(n)} AS {_q(n)}" for n in ["UMIS BILL ID", "Meter AMR", "Funding Source", "# days", "Consumption (KWH)"])}
 FROM bills""",
+        "na_tokens_all": f"""WITH {_BILLS}
+SELECT "UMIS BILL ID", CASE WHEN l_partkey % 21 >= 19 THEN ['n/A', ' NA'][l_partkey % 21 - 18] END AS "Funding Source"
+FROM bills""",
+        "scan_csv_short_rows": f"""WITH {_BILLS}
+SELECT "UMIS BILL ID", CASE WHEN l_partkey % 3 > 0 THEN {_q(_DATE)} END AS {_q(_DATE)},
+  CASE WHEN l_partkey % 3 > 1 THEN "Borough" END AS "Borough" FROM bills""",
+        "check_contract_misfits": f"""WITH {_STAGED}
+SELECT 'dim_location' AS table_name, 'borough' AS column_name,
+  COUNT(*) FILTER (WHERE length("Borough") > 50) AS misfits FROM staged
+UNION ALL SELECT 'dim_meter_type', 'meter_type_name', COUNT(*) FILTER (WHERE length("Meter AMR") > 50) FROM staged
+UNION ALL SELECT 'dim_service_class', 'service_class', COUNT(*) FILTER (WHERE length("Rate Class") > 50) FROM staged
+UNION ALL SELECT 'dim_customer', 'customer_id', COUNT(*) FILTER (WHERE length("Account Name") > 50) FROM staged
+UNION ALL SELECT 'dim_customer', 'borough', COUNT(*) FILTER (WHERE length("Borough") > 50) FROM staged
+UNION ALL SELECT 'fact_electric_consumption', 'kwh_consumed',
+  COUNT(*) FILTER (WHERE {_KWH} IS NOT NULL AND TRY_CAST({_KWH} AS DECIMAL(18, 2)) IS NULL) FROM staged
+UNION ALL SELECT 'fact_electric_consumption', 'total_cost_usd',
+  COUNT(*) FILTER (WHERE {_CHARGES} IS NOT NULL AND TRY_CAST({_CHARGES} AS DECIMAL(18, 2)) IS NULL) FROM staged""",
         "drop_undated": f"""WITH {_BILLS}, {_PARSED}
 SELECT "UMIS BILL ID", "BillDate_Std" FROM parsed WHERE "BillDate_Std" IS NOT NULL""",
         "fill_unknown_members": f"""WITH {_BILLS}

@@ -33,6 +33,7 @@ from billmill.schema import (
     DIMENSIONS,
     KWH,
     MEASURES,
+    NA_TOKENS,
     STAGED_KWH,
     STD_DATE,
 )
@@ -177,6 +178,31 @@ def na_tokens(spark, folder):
     return _plain(_bills(spark, folder, _BILL_ID, "Meter AMR", "Funding Source", DAYS, KWH).transform(clean.null_na_tokens))
 
 
+@_query
+def na_tokens_all(spark, folder):
+    """Every spelling of no value, and two that are values."""
+    spellings = F.array(*[F.lit(token) for token in [*NA_TOKENS, "n/A", " NA"]])
+    spelled = F.get(spellings, F.col("_source_part") % (len(NA_TOKENS) + 2)).alias("Funding Source")
+    bills = _bills(spark, folder, _BILL_ID).select(col(_BILL_ID), spelled)
+    return clean.null_na_tokens(bills)
+
+
+@_query
+def scan_csv_short_rows(spark, folder):
+    """Files in which a third of the rows ends after the first cell and a third after the second."""
+    cells = [col(_BILL_ID), col(BILL_DATE), F.coalesce(col("Borough"), F.lit(""))]
+    lines = F.concat_ws(",", F.slice(F.array(*cells), 1, (F.col("_source_part") % 3 + 1).cast("int")))
+    path = new_folder(spark, "short-rows")
+    bills = _bills(spark, folder, _BILL_ID, BILL_DATE, "Borough").select(lines.alias(f"{_BILL_ID},{BILL_DATE},Borough"))
+    bills.write.options(header=True, sep="\u0001").csv(path)
+    return read_bills_csv(spark, path).select(col(_BILL_ID), col(BILL_DATE), col("Borough"))
+
+
+@_query
+def check_contract_misfits(spark, folder):
+    return contract.misfits(_staging(spark, folder, "Borough", "Meter AMR", "Rate Class", "Account Name"))
+
+
 @_query
 def drop_undated(spark, folder):
     bills = _bills(spark, folder, BILL_DATE, _BILL_ID)

@@ -70,3 +70,10 @@ def test_a_hot_key_shrinks_before_the_shuffle(spark):
 
 def test_without_keys_everything_stays(spark):
     assert keep_first(spark.range(5), [], ["id"]).count() == 5
+
+
+def test_keys_do_not_depend_on_the_partitions(spark):
+    rows = spark.range(2000).selectExpr("id % 40 AS hot", "id * 7919 % 2003 AS place", "id")
+    found = [sorted(map(tuple, number_rows(rows.repartition(n), ["hot", "place"], "key").collect())) for n in (1, 7, 50)]
+    assert found[0] == found[1] == found[2]
+    assert [row[0] for row in found[0]] == list(range(1, 2001))

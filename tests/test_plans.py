@@ -87,3 +87,31 @@ def test_generated_code_is_small_enough_to_be_compiled(spark, small, capsys):
             spark.conf.set(key, value)
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) < 8000, sizes
+
+
+def test_bills_are_parsed_and_deduplicated_once(spark, small, monkeypatch):
+    """Also the step that runs while the query is built."""
+    from billmill.plans import staging
+    from billmill.sources.sales_bills import SALES_ORDER, read_sales_bills
+    from billmill.workspace import stored
+
+    raw = stored(read_sales_bills(spark, small), "raw")
+    eager = []
+
+    def noted(df, name):
+        eager.append(plan_of(df))
+        return stored(df, name)
+
+    monkeypatch.setattr(staging, "stored", noted)
+    final = plan_of(staging.build_staging(raw, SALES_ORDER))
+    assert len(eager) == 1 and eager[0].count("FileScan") == 1 and eager[0].count("row_number(), 1, Final") == 1
+    assert "row_number" not in final and "/raw-" not in final
+    # the median reads one column of what was stored
+    assert re.search(r"ReadSchema: struct<Consumption \(KWH\):double>", final)
+
+
+def test_counts_of_a_numbering_read_one_column(spark, small):
+    from billmill.operators.keys import number_rows
+
+    plan = plan_of(number_rows(spark.read.parquet(f"{small}/orders.parquet"), ["o_orderkey"], "key"))
+    assert "ReadSchema: struct<_range:bigint>" in plan and "ExistingRDD" not in plan
