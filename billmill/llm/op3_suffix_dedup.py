@@ -15,8 +15,8 @@ the same position, which is the property the cover is there for, with 3 % of all
 Earlier means smaller doc_id, then smaller start. Rows that share a doc_id come in the order of a 15-bit
 hash of their text; equal rows share one result. A row without doc_id has no place in the order: nothing is
 removed from it or because of it. Null and empty texts, and texts shorter than a window, stay as they are.
-Other columns are ignored. Matches never cross documents. A group of equal names is sorted by Spark and
-streamed, never held together.
+Other columns are ignored. Matches never cross documents. Copies within a slice of texts are found on the
+spot, so a name that is everywhere is one row per slice; the rest of its group is sorted and streamed.
 """
 
 from __future__ import annotations
@@ -113,6 +113,22 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return texts.withColumn("tie", tie)
 
 
+def _copies_here(key: np.ndarray, doc: np.ndarray, spot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which positions of a slice repeat an earlier one of it, and a key that spreads them.
+
+    Only the first position of a key goes on under it, so a key that holds a third of all positions is a few
+    rows per slice. The others are known to be copies; a key of their own keeps them out of the way.
+    """
+    order = np.lexsort((spot, doc))
+    order = order[np.argsort(key[order], kind="stable")]
+    key_, doc_, spot_ = key[order], doc[order], spot[order]
+    heads = np.flatnonzero(np.concatenate([[True], key_[1:] != key_[:-1]]))
+    first = np.repeat(heads, np.diff(np.concatenate([heads, [len(key)]])))
+    copy = np.zeros(len(key), bool)
+    copy[order] = (doc_ != doc_[first]) | (spot_ != spot_[first])
+    return copy, mix(key ^ mix(spot.view(np.uint64)) ^ mix(mix(doc.view(np.uint64))))
+
+
 def sampled(texts: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -120,14 +136,24 @@ def sampled(texts: DataFrame, length: int, gram: int) -> DataFrame:
             doc, tie = field(batch, "doc_id").to_numpy(), field(batch, "tie").to_numpy()
             for piece, cut, place in _pieces(data, at, length):
                 grams, name, owner, first, last, _ = sample(piece, cut, length, gram)
+                if not len(grams):
+                    continue
                 spot = _spot(tie[owner], first + place, last - first)
+                copy, own = _copies_here(mix(grams ^ mix(name)), doc[owner], spot)
+                grams = np.where(copy, own, grams)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams.view(np.int64)), pa.array(name.view(np.int64)), pa.array(doc[owner]), pa.array(spot)],
-                    ["gram", "name", "doc", "spot"],
+                    [
+                        pa.array(grams.view(np.int64)),
+                        pa.array(name.view(np.int64)),
+                        pa.array(doc[owner]),
+                        pa.array(spot),
+                        pa.array(copy),
+                    ],
+                    ["gram", "name", "doc", "spot", "here"],
                 )
 
     ordered = texts.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
-    return ordered.mapInArrow(run, "gram long, name long, doc long, spot long")
+    return ordered.mapInArrow(run, "gram long, name long, doc long, spot long, here boolean")
 
 
 def named_windows(texts: DataFrame, asked: DataFrame, length: int) -> DataFrame:
@@ -151,13 +177,16 @@ def named_windows(texts: DataFrame, asked: DataFrame, length: int) -> DataFrame:
                 low = int((at[owner[j]] + start[j]).min())
                 high = int((at[owner[j]] + start[j]).max()) + length
                 name = Rolling(data[low:high])(at[owner[j]] + start[j] - low, length)
+                place = _spot(tie[owner[j]], start[j], 0)
+                copy, own = _copies_here(name, doc[owner[j]], place)
+                name = np.where(copy, own, name)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(name.view(np.int64)), pa.array(doc[owner[j]]), pa.array(_spot(tie[owner[j]], start[j], 0))],
-                    ["name", "doc", "spot"],
+                    [pa.array(name.view(np.int64)), pa.array(doc[owner[j]]), pa.array(place), pa.array(copy)],
+                    ["name", "doc", "spot", "here"],
                 )
 
     joined = texts.join(asked, (texts["doc_id"] == asked["doc"]) & (texts["tie"] == asked["of"]))
-    return joined.select("doc_id", "tie", "text", "spots").mapInArrow(run, "name long, doc long, spot long")
+    return joined.select("doc_id", "tie", "text", "spots").mapInArrow(run, "name long, doc long, spot long, here boolean")
 
 
 def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -167,8 +196,8 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -
     rows = sampled(texts, length, gram).withColumns(
         {"n": F.count(F.lit(1)).over(of_gram), "low": F.min("name").over(of_gram), "high": F.max("name").over(of_gram)}
     )
-    rows = rows.where("n > 1").withColumns(
-        {"copy": _after_another(in_order), "mixed": F.col("low") < F.col("high")}
+    rows = rows.where("here or n > 1").withColumns(
+        {"copy": F.col("here") | _after_another(in_order), "mixed": F.col("low") < F.col("high")}
     )
     met = stored(rows.where("copy or mixed").select("doc", "spot", "copy"), "met-suffixes")
     tie = F.shiftright("spot", 48)
@@ -177,7 +206,8 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -
         "asked-suffixes",
     )
     of_name = Window.partitionBy("name").orderBy("doc", "spot")
-    single = named_windows(texts, asked, length).withColumn("copy", _after_another(of_name)).where("copy")
+    windows = named_windows(texts, asked, length)
+    single = windows.withColumn("copy", F.col("here") | _after_another(of_name)).where("copy")
     found = met.where("copy").select("doc", "spot").unionByName(stored(single.select("doc", "spot"), "repeated-windows"))
     return found.groupBy("doc", tie.alias("of")).agg(F.collect_set("spot").alias("spots"))
 
