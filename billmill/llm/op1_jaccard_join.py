@@ -317,3 +317,20 @@ def jaccard_join(
 
 def op1_jaccard_join(spark, folder: str) -> DataFrame:
     return jaccard_join(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# For tables whose doc_id is a key. Compares all pairs that share a shingle, so for small tables only.
+SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i + 1, i + {SHINGLE}), ' ') AS t
+      FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - {SHINGLE} + 1, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (t) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+          WHERE 100 * shared >= {PERCENT} * (x.n + y.n - shared)),
+reach AS (SELECT doc_id, doc_id AS other FROM n UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(min(other), d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY d.doc_id, n.n
+"""

@@ -291,3 +291,23 @@ def op3_suffix_dedup(spark, folder: str) -> DataFrame:
         F.coalesce("runs", none).alias("n_spans"),
         F.coalesce("rest", "whole").alias("kept_sha256"),
     )
+
+
+# For tables whose doc_id is a key: every window of every text, as hexadecimal digits.
+SQL = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, i, md5_number(substring(h, 2 * i + 1, {2 * LENGTH})) AS w
+            FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - {LENGTH - 1})) AS i FROM d WHERE len(h) >= {2 * LENGTH})),
+copies AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS k FROM windows)
+           WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {LENGTH})) AS p FROM copies),
+lost AS (SELECT doc_id, count(*) AS n, sum(CAST(p - before > 1 OR before IS NULL AS BIGINT)) AS runs
+         FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM gone) GROUP BY doc_id),
+rest AS (SELECT doc_id, string_agg(substring(h, 2 * p + 1, 2), '' ORDER BY p) AS h
+         FROM (SELECT doc_id, h, unnest(range(len(h) // 2)) AS p FROM d JOIN lost USING (doc_id))
+         ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n, 0) AS n_removed,
+  CAST(coalesce(runs, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN n IS NULL THEN d.h ELSE coalesce(rest.h, '') END)) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN rest USING (doc_id)
+"""

@@ -116,3 +116,36 @@ def quality(
 
 def op9_quality_rules(spark, folder: str) -> DataFrame:
     return quality(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
+_LIMITS = ", ".join(f"({n}, {limit})" for n, limit in REPEATED_WINDOWS.items())
+SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+l(n, most) AS (VALUES {_LIMITS}),
+g AS (SELECT r, n, i, array_to_string(list_slice(w, i + 1, i + n), ' ') AS s
+      FROM (SELECT r, n, w, unnest(range(len(w) - n + 1)) AS i FROM w, l WHERE len(w) >= n)),
+twice AS (SELECT r, n, i FROM (SELECT r, n, i, count(*) OVER (PARTITION BY r, n, s) AS c FROM g) WHERE c > 1),
+inside AS (SELECT r, n, count(*) AS words, sum(length(w[p + 1])) AS chars
+           FROM (SELECT DISTINCT r, n, unnest(range(i, i + n)) AS p FROM twice) JOIN w USING (r) GROUP BY r, n),
+line AS (SELECT r, s, count(*) AS c FROM (SELECT r, unnest(string_split(t, chr(10))) AS s FROM d)
+         WHERE regexp_matches(s, '[^\x20\x09-\x0D]') GROUP BY r, s),
+lines AS (SELECT r, sum(c) AS n_lines, sum(c - 1) AS again, sum((c - 1) * length(s)) AS chars FROM line GROUP BY r),
+total AS (SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, greatest(length(t), 1) AS chars FROM w),
+share AS (SELECT r, max(inside.chars / greatest(word_chars, 1)) AS worst,
+            bool_or(inside.chars / greatest(word_chars, 1) > most) AS over,
+            max(words) FILTER (WHERE n = {BASE_WINDOW}) AS repeat_words
+          FROM inside JOIN l USING (n) JOIN total USING (r) GROUP BY r),
+judged AS (SELECT total.*, coalesce(again, 0) AS again, coalesce(n_lines, 0) AS n_lines, coalesce(lines.chars, 0) AS again_chars,
+             coalesce(repeat_words, 0) AS repeat_words, coalesce(worst, 0) AS worst, coalesce(over, FALSE) AS over
+           FROM total LEFT JOIN lines USING (r) LEFT JOIN share USING (r)),
+based AS (SELECT *, n_words < {BASE_WORDS} OR 100 * repeat_words > {BASE_PERCENT} * n_words AS failed FROM judged)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(again AS BIGINT) AS n_dup_lines, CAST(repeat_words AS BIGINT) AS n_repeat_words,
+  CAST(n_lines AS BIGINT) AS n_lines, CAST(again_chars AS BIGINT) AS dup_line_chars, CAST(worst AS DOUBLE) AS repeated_share,
+  failed AS base_failed, NOT failed AND NOT over
+    AND NOT again_chars > {REPEATED_LINE_CHARS}::DOUBLE * chars
+    AND NOT again > {REPEATED_LINES}::DOUBLE * greatest(n_lines, 1) AS kept
+FROM based
+"""
