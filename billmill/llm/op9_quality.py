@@ -1,7 +1,8 @@
 """Quality rules: how much of a text repeats itself.
 
 Word windows of several lengths are hashed for a whole slice of texts at once. A document is rejected if
-too many of its characters lie inside repeated windows or repeated lines. Each row is judged on its own:
+too many of its characters lie inside repeated windows or repeated lines, or if it has a symbol for every
+tenth word. Each row is judged on its own:
 no shuffle, equal rows get equal results, other columns are ignored. A null text has no words; it and
 every text of fewer than 20 words fail the base rule.
 """
@@ -17,12 +18,12 @@ from pyspark.sql import functions as F
 
 from billmill.llm.words import WHITE, Words, by_text, field, mix, slices, text_bytes, windows
 
-# Largest share of a text's word characters inside windows of n words that occur twice or more
-# (the published thresholds of the repetition rules for web text).
-REPEATED_WINDOWS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
-# Largest share of characters in lines that repeat an earlier line, and of such lines.
+# Largest share of a text's word characters inside windows of n words that occur twice or more. Short windows
+# repeat in any long text by chance and are left out; one repeated sentence in a short text must pass.
+REPEATED_WINDOWS = {4: 0.35, 5: 0.32, 6: 0.31, 7: 0.30, 8: 0.30, 9: 0.30, 10: 0.30}
+# Largest share of characters in lines that repeat an earlier line, and of symbols per word.
 REPEATED_LINE_CHARS = 0.20
-REPEATED_LINES = 0.30
+SYMBOLS_PER_WORD = 0.10
 BASE_WINDOW, BASE_WORDS, BASE_PERCENT = 8, 20, 30
 
 SYMBOLS = np.zeros(256, bool)
@@ -90,7 +91,7 @@ def measure(batches: Iterator[pa.RecordBatch], limits: Mapping[int, float]) -> I
         heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         text_chars = heads[at[1:]] - heads[at[:-1]]
         over |= lines[:, 2] > REPEATED_LINE_CHARS * np.maximum(text_chars, 1)
-        over |= lines[:, 1] > REPEATED_LINES * np.maximum(lines[:, 0], 1)
+        over |= n_symbols > SYMBOLS_PER_WORD * n_words
         failed = (n_words < BASE_WORDS) | (100 * repeat_words > BASE_PERCENT * n_words)
         yield pa.RecordBatch.from_arrays(
             [
@@ -146,6 +147,6 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CAST(n_lines AS BIGINT) AS n_lines, CAST(again_chars AS BIGINT) AS dup_line_chars, CAST(worst AS DOUBLE) AS repeated_share,
   failed AS base_failed, NOT failed AND NOT over
     AND NOT again_chars > {REPEATED_LINE_CHARS}::DOUBLE * chars
-    AND NOT again > {REPEATED_LINES}::DOUBLE * greatest(n_lines, 1) AS kept
+    AND NOT n_symbols > {SYMBOLS_PER_WORD}::DOUBLE * n_words AS kept
 FROM based
 """
