@@ -46,7 +46,7 @@ class Rolling:
     def __init__(self, data: np.ndarray) -> None:
         n = len(data)
         if len(Rolling._up) <= n:
-            Rolling._up, Rolling._down = powers(_BASE, 2 * n), powers(_INVERSE, 2 * n)
+            Rolling._up, Rolling._down = powers(_BASE, n + 1), powers(_INVERSE, n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[data] * self._up[:n], out=self.sums[1:])
 

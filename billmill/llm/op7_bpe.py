@@ -294,8 +294,18 @@ def coder(name: str = VOCABULARY) -> ByteBPE:
     return ByteBPE(name)
 
 
-def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id, ``ids`` (array of int) and ``decoded`` for every row."""
+_TYPES = {
+    "doc_id": "long",
+    "n_tokens": "long",
+    "ids_sha256": "string",
+    "decoded_sha256": "string",
+    "ids": "array<int>",
+    "decoded": "string",
+}
+
+
+def _coded(docs: DataFrame, doc_id: str, text: str, vocabulary: str, wanted: list[str]) -> DataFrame:
+    """Encode and decode every row in one Python step, returning the wanted columns of ``_TYPES``."""
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,34 +313,32 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabula
         for batch in slices(batches, "text"):
             ids, counts = bpe.encode_texts([t or "" for t in field(batch, "text").to_pylist()])
             decoded = [d.decode("utf-8", "replace") for d in bpe.decode(ids.astype(np.int64), counts)]
-            ids, decoded = id_lists(ids, counts), pa.array(decoded, pa.string())
-            yield pa.RecordBatch.from_arrays([field(batch, "doc_id"), ids, decoded], ["doc_id", "ids", "decoded"])
+            ends = np.cumsum(counts).tolist()
+            columns = {
+                "doc_id": lambda: field(batch, "doc_id"),
+                "n_tokens": lambda: pa.array(counts.astype(np.int64)),
+                "ids_sha256": lambda: pa.array(
+                    [hashlib.sha256(ids[e - n : e].astype("<u4").tobytes()).hexdigest() for n, e in zip(counts, ends)],
+                    pa.string(),
+                ),
+                "decoded_sha256": lambda: pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string()),
+                "ids": lambda: id_lists(ids, counts),
+                "decoded": lambda: pa.array(decoded, pa.string()),
+            }
+            yield pa.RecordBatch.from_arrays([columns[name]() for name in wanted], wanted)
 
-    return narrow.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return narrow.mapInArrow(run, ", ".join(f"{name} {_TYPES[name]}" for name in wanted))
 
 
-def digests(docs: DataFrame, vocabulary: str = VOCABULARY, keep_ids: bool = False) -> DataFrame:
-    """Number and SHA-256 of the ids, and SHA-256 of the text decoded from them; ``ids`` as well on demand."""
+def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+    """doc_id, ``ids`` (array of int) and ``decoded`` for every row."""
+    return _coded(docs, doc_id, text, vocabulary, ["doc_id", "ids", "decoded"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = field(batch, "ids")
-            values = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-            counts = np.diff(ids.offsets.to_numpy())
-            ends = np.cumsum(counts)
-            hashed = [hashlib.sha256(values[e - n : e].tobytes()).hexdigest() for n, e in zip(counts, ends)]
-            decoded = [hashlib.sha256(s.as_buffer() or b"").hexdigest() for s in field(batch, "decoded")]
-            columns = {
-                "doc_id": field(batch, "doc_id"),
-                "n_tokens": pa.array(counts.astype(np.int64)),
-                "ids_sha256": pa.array(hashed),
-                "decoded_sha256": pa.array(decoded),
-            }
-            yield pa.RecordBatch.from_pydict(columns | ({"ids": ids} if keep_ids else {}))
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    schema += ", ids array<int>" if keep_ids else ""
-    return encode(docs, vocabulary=vocabulary).mapInArrow(run, schema)
+def digests(docs: DataFrame, vocabulary: str = VOCABULARY, keep_ids: bool = False) -> DataFrame:
+    """Number and SHA-256 of the ids, and SHA-256 of the text decoded from them; ``ids`` as well on demand."""
+    wanted = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids]
+    return _coded(docs, "doc_id", "text", vocabulary, wanted)
 
 
 def op7_bpe(spark, folder: str) -> DataFrame:

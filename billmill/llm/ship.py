@@ -20,10 +20,14 @@ def _archive() -> str:
 
 
 _DONE: set[str] = set()
+# Texts differ by orders of magnitude in length, so batches for Python are bounded by bytes, not rows.
+_BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def ship(spark) -> None:
-    """Send the package to the workers of this application, once."""
+    """Send the package to the workers of this application, once, and bound the batches that they get."""
+    for name, value in _BATCH.items():
+        spark.conf.set(name, value)
     application = spark.sparkContext.applicationId
     if application not in _DONE:
         spark.sparkContext.addPyFile(_archive())

@@ -55,7 +55,7 @@ class WordIds:
     and costs time only.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list[bytes]], size: int = 400_000) -> None:
+    def __init__(self, compute: Callable[[list[str]], list[bytes]], size: int = 250_000) -> None:
         self.compute, self.size = compute, size
         self._forget()
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 
 # Texts are worked through in slices of about this many bytes, which bounds a task's memory (a single
 # longer text is a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _EVEN = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
