@@ -29,7 +29,7 @@ from billmill.llm.words import field, slices, text_bytes
 
 ORDER = 5
 SMOOTHING = 8.0
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
 SALTS = 8
 _LAST = 0xFF
 
