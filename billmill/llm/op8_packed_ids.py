@@ -13,6 +13,7 @@ the end id only. An empty table gives an empty manifest and no rows. Other colum
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import unicodedata
@@ -261,6 +262,8 @@ class PackedIds(DataSource):
 
 @cache
 def _tokenizer(vocabulary: str):
+    # Spark runs one worker per core: the library's own threads would only wait for each other.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary_file(vocabulary))
