@@ -69,7 +69,10 @@ class WordIds:
             self._forget()
         number = self.numbers.__getitem__
         counts = np.array([len(words) for words in cut], np.int64)
-        which = np.fromiter(map(number, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        # Arrow finds the distinct words of the slice; only these are looked up.
+        words = pa.array(list(chain.from_iterable(cut)), pa.string()).dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False)
+        which = np.fromiter(map(number, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
         if self.numbers.new:
             packed = self.compute(self.numbers.new)
             self.sizes = np.concatenate([self.sizes, np.array([len(p) // 4 for p in packed], np.int64)])
