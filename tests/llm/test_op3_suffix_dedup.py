@@ -54,11 +54,6 @@ def test_planted_passages(spark, folder):
     assert result(spark, path) == brute(rows)
 
 
-def test_whole_table(spark, small):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
-    assert result(spark, small) == brute(rows)
-
-
 def test_pieces_of_a_very_long_text_hold_every_window_once(monkeypatch):
     monkeypatch.setattr(op3, "SLICE_BYTES", 300)
     data, at = op3.text_bytes(pa.array(["".join(t or "" for _, t in planted(4)[:60])]))
