@@ -17,7 +17,6 @@ Rows without doc_id are never targets. Other columns are ignored.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame

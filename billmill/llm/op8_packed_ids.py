@@ -292,11 +292,11 @@ class CachedTokenizer:
     def __init__(self, vocabulary: str) -> None:
         self.tokenizer = _tokenizer(vocabulary)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join(map(re.escape, [*special, "\u03a3"])))
+        self.odd = [*special, "\u03a3"]
         vocab, suffix = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
         self.ends_word = np.zeros(1 + max(vocab.values()), bool)
         self.ends_word[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
-        self.words = WordIds(self._words)
+        self.words = WordIds(self._words, 500_000)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -321,7 +321,7 @@ class CachedTokenizer:
         return out
 
     def _cut(self, text: str) -> list[str]:
-        if self.odd.search(text):
+        if any(mark in text for mark in self.odd):
             return [" " + text]
         if text.isascii():
             return _ASCII_WORDS.findall(text.lower())
