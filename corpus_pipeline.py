@@ -34,16 +34,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates: the one that gives the group its id."""
     ship(spark)
     found = stored(near.jaccard_join(docs), "near-duplicates").where("doc_id is not null")
-    others = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti")
+    others = found.where("component_id <> doc_id").select("doc_id")
     # Several rows of one doc_id are one document; only these few rows are gathered.
     several = stored(
         found.where("component_id = doc_id and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"),
         "repeated-ids",
     )
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc_nulls_last("text")))
-    first = kept.join(several, "doc_id", "left_semi").withColumn("_place", place).where("_place = 1")
-    rest = kept.join(several, "doc_id", "left_anti")
+    first = docs.join(several, "doc_id", "left_semi").withColumn("_place", place).where("_place = 1")
+    # One join decides on all other rows, so their texts move once.
+    rest = docs.join(stored(others.unionByName(several).distinct(), "left-out-ids"), "doc_id", "left_anti")
     return rest.select(docs.columns).unionByName(first.select(docs.columns))
 
 
