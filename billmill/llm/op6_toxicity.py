@@ -6,9 +6,11 @@ likewise, target and report for the clause, quotation marks while they are open.
 leaves the composition with the weight that the joint state gives it. A document is scored by its matched
 clauses (their number, sum and maximum), not by single words, through a logistic model.
 
-Weights come from labelled rows that are not held out: a bounded sample of ``sample`` of them. A word is
-learned as an insult if it stands in many different surroundings (copies of one document count once) of
-toxic documents and few of others. Labels of held-out rows are never read, nor are lang, source or doc_id.
+Weights come from labelled rows that are not held out: a bounded sample of ``sample`` of them. A word, or a
+stem (its first letters), is learned as an insult if it stands in ``MIN_CONTEXTS`` different surroundings or
+more (copies of one document count once) of toxic documents, and the lower end of the confidence interval of
+its log odds reaches ``MIN_LOG_ODDS``. The support is the same for every size of sample, so words of a smaller
+language are learned as well. Labels of held-out rows are never read, nor are lang, source or doc_id.
 
 A null or empty text matches nothing and gets the score of a text without clauses. Without usable labels
 the prior weights serve. A row without doc_id counts as held out. Equal texts get equal scores; other
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billmill.llm.words import LOWER, Words, field, mix, slices, text_bytes
+from billmill.llm.words import LOWER, Words, field, mix, slices, span_hashes, text_bytes
 
 INSULT, THREAT, INTENT, TARGET, NEGATION, REPORT = 1, 2, 3, 4, 5, 6
 
@@ -44,8 +46,10 @@ HOLDS = 4  # words for which a negation or an intent holds
 NEGATED, REPORTED, AIMED, UNMEANT = 0.0, 0.4, 1.25, 0.2
 
 SAMPLE = 12_000  # labelled rows that weights are fitted on
-LEARNED = 2_000  # learned words at most
-MIN_SHARE, MIN_CONTEXTS, MIN_LOG_ODDS, MAX_WEIGHT = 0.03, 5, 2.5, 6.0
+LEARNED = 10_000  # learned words and stems at most
+STEMS = (5, 6, 7, 8)  # letters of a stem; the word itself is longer
+MIN_CONTEXTS, MIN_LOG_ODDS, MAX_WEIGHT = 5, 1.0, 6.0
+CONFIDENCE = 3.29  # standard errors: 99.9 %
 
 _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[ord("a") : ord("z") + 1] = False
@@ -59,17 +63,29 @@ def _hash_words(words: list[str]) -> np.ndarray:
     return Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), _SEPARATOR).hashes()
 
 
+def stem_hashes(words: Words, letters: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words longer than ``letters`` and a hash of the first letters of each."""
+    heads = np.flatnonzero((words.data & 0xC0) != 0x80)
+    end = np.searchsorted(heads, words.starts) + letters
+    ends = np.append(heads, len(words.data))[np.minimum(end, len(heads))]
+    longer = np.flatnonzero(ends < words.ends)
+    return longer, mix(span_hashes(words.data, words.starts[longer], ends[longer]) ^ np.uint64(letters))
+
+
 @dataclass
 class Grammar:
-    """Symbols by word hash (sorted), their weights, and the logistic model over clause figures."""
+    """Symbols by word hash (sorted), their weights, insulting stems by hash (sorted) with theirs, and the
+    logistic model over clause figures."""
 
     words: np.ndarray
     symbols: np.ndarray
     weights: np.ndarray
+    stems: np.ndarray
+    stem_weights: np.ndarray
     model: np.ndarray = default(default_factory=lambda: np.array([-3.0, 3.0, 0.5, 0.5, 0.0]))
 
     @staticmethod
-    def of(learned: dict[int, float] | None = None) -> Grammar:
+    def of(learned: dict[int, float] | None = None, stems: dict[int, float] | None = None) -> Grammar:
         table: dict[int, tuple[int, float]] = {}
         for symbol, words in LEXICON.items():
             for h in _hash_words(words.split()).tolist():
@@ -79,7 +95,25 @@ class Grammar:
                 table[h] = (INSULT, weight)
         words = np.array(sorted(table), np.uint64)
         symbols, weights = zip(*[table[w] for w in words.tolist()])
-        return Grammar(words, np.array(symbols), np.array(weights))
+        stems = dict(sorted((stems or {}).items()))
+        return Grammar(
+            words, np.array(symbols), np.array(weights), np.array([*stems], np.uint64), np.array([*stems.values()], float)
+        )
+
+    def read(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Symbol (0: none) and weight of each word. A word that is known as a whole is not read by its stems."""
+        hashes = words.hashes()
+        found = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        known = self.words[found] == hashes
+        symbol, weight = np.where(known, self.symbols[found], 0), np.where(known, self.weights[found], 0.0)
+        for letters in STEMS if len(self.stems) else ():
+            longer, stems = stem_hashes(words, letters)
+            found = np.minimum(np.searchsorted(self.stems, stems), len(self.stems) - 1)
+            hit = (self.stems[found] == stems) & ~known[longer]
+            at = longer[hit]
+            symbol[at] = INSULT
+            weight[at] = np.maximum(weight[at], self.stem_weights[found[hit]])
+        return symbol, weight
 
 
 def clause_weight(symbols: list[int], weights: list[float], places: list[int], quoted: list[bool]) -> float:
@@ -111,15 +145,14 @@ def clause_figures(batch: pa.RecordBatch, grammar: Grammar) -> np.ndarray:
     """Per text: 1, any match, largest clause weight, sum of clause weights (log), words (log)."""
     data, at = text_bytes(field(batch, "text"))
     words = Words(LOWER[data], at, _SEPARATOR)
-    hashes = words.hashes()
     out = np.zeros((len(at) - 1, 5))
     out[:, 0] = 1
     out[:, 4] = np.log1p(words.counts)
-    if not len(hashes):
+    if not len(words):
         return out
-    found = np.minimum(np.searchsorted(grammar.words, hashes), len(grammar.words) - 1)
-    read = np.flatnonzero(grammar.words[found] == hashes)
-    symbol, weight = grammar.symbols[found[read]], grammar.weights[found[read]]
+    symbol, weight = grammar.read(words)
+    read = np.flatnonzero(symbol)
+    symbol, weight = symbol[read], weight[read]
     ends, quotes = np.cumsum(_CLAUSE_END[data]), np.cumsum(data == ord('"'))
     start = words.starts[read]
     text = words.text[read]
@@ -177,8 +210,16 @@ def labelled_sample(texts: DataFrame, labels: DataFrame, size: int) -> DataFrame
     return texts.join(F.broadcast(chosen), "doc_id")
 
 
-def learned_words(sample: DataFrame) -> dict[int, float]:
-    """Words of toxic documents by log odds, counted by different surroundings. At most ``LEARNED`` come back."""
+def least_log_odds(t: Column, n: Column, toxic: int, others: int) -> Column:
+    """The lower end of the interval (Wilson's) of the log odds of ``t`` toxic surroundings against ``n`` others,
+    less those of the sample's ``toxic`` and ``others`` rows."""
+    z, m = CONFIDENCE, t + n
+    half = z * F.sqrt(t * n / m + z * z / 4)
+    return F.log((t + z * z / 2 - half) / (n + z * z / 2 + half)) - F.log((F.lit(toxic) + 1) / (F.lit(others) + 1))
+
+
+def learned_words(sample: DataFrame) -> tuple[dict[int, float], dict[int, float]]:
+    """Words and stems of toxic documents by log odds, counted by different surroundings. At most ``LEARNED`` in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -189,30 +230,44 @@ def learned_words(sample: DataFrame) -> dict[int, float]:
                 continue
             before, after = np.concatenate([h[:1], h[:-1]]), np.concatenate([h[1:], h[-1:]])
             around = mix(before ^ mix(after))
-            _, once = np.unique(mix(h ^ mix(words.text.astype(np.uint64))), return_index=True)
-            toxic = field(batch, "toxic").to_numpy()[words.text[once]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[once].view(np.int64)), pa.array(around[once].view(np.int64)), pa.array(toxic)],
-                ["word", "around", "toxic"],
-            )
-
-    seen = sample.select("text", "toxic").mapInArrow(run, "word long, around long, toxic int").distinct()
-    counts = seen.groupBy("word").agg(
+            toxic = field(batch, "toxic").to_numpy()
+            for letters in (0, *STEMS):
+                # 0: the words themselves
+                which, units = stem_hashes(words, letters) if letters else (np.arange(len(h)), h)
+                text = words.text[which]
+                _, once = np.unique(mix(units ^ mix(text.astype(np.uint64))), return_index=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(units[once].view(np.int64)),
+                        pa.array(np.full(len(once), letters, np.int32)),
+                        pa.array(around[which[once]].view(np.int64)),
+                        pa.array(toxic[text[once]]),
+                    ],
+                    ["unit", "letters", "around", "toxic"],
+                )
+
+    seen = sample.select("text", "toxic").mapInArrow(run, "unit long, letters int, around long, toxic int").distinct()
+    counts = seen.groupBy("unit", "letters").agg(
         F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") != 1).alias("n")
     )
     totals = sample.agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") != 1).alias("n")).first()
     odds = F.log((F.col("t") + 0.5) / (totals.t + 1)) - F.log((F.col("n") + 0.5) / (totals.n + 1))
-    least = max(MIN_CONTEXTS, MIN_SHARE * totals.t)
+    least = least_log_odds(F.col("t"), F.col("n"), totals.t, totals.n)
     best = (
-        counts.where(F.col("t") >= least).withColumn("w", F.least(odds, F.lit(MAX_WEIGHT))).where(F.col("w") >= MIN_LOG_ODDS)
-    ).orderBy(F.desc("w"), "word").limit(LEARNED)
-    return {row.word & 0xFFFFFFFFFFFFFFFF: row.w for row in best.collect()}
+        counts.where(F.col("t") >= MIN_CONTEXTS)
+        .withColumns({"w": F.least(odds, F.lit(MAX_WEIGHT)), "least": least})
+        .where(F.col("least") >= MIN_LOG_ODDS)
+    ).orderBy(F.desc("least"), "unit").limit(LEARNED)
+    words, stems = {}, {}
+    for row in best.collect():
+        (stems if row.letters else words)[row.unit & 0xFFFFFFFFFFFFFFFF] = row.w
+    return words, stems
 
 
 def learn(texts: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Grammar:
     """The grammar with learned words and a model fitted on the sample's clause figures (``size`` short rows)."""
     sample = labelled_sample(texts, labels, size)
-    grammar = Grammar.of(learned_words(sample))
+    grammar = Grammar.of(*learned_words(sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import pyarrow as pa
@@ -43,3 +44,18 @@ def test_boundary_and_empty(spark, boundary):
     assert score_toxicity(boundary, labels).count() == boundary.count()
     assert score_toxicity(boundary, labels.limit(0)).where("score is null").count() == 0
     assert score_toxicity(boundary.limit(0), labels).collect() == []
+
+
+def test_words_and_stems_of_a_small_language_are_learned(spark):
+    """10 toxic documents hold a rare word, 10 others words of one stem, against 600 with a frequent one."""
+    kinds = ["alma {i} tontazo {j}", "alma {i} bribonz{c} {j}", "alma {i} pest {j}", "alma {i} dia {j}"]
+    name = ["".join(pair) for pair in itertools.product("abcdefghij", repeat=2)]
+    texts = [(kinds[0], 1)] * 10 + [(kinds[1], 1)] * 10 + [(kinds[2], 1)] * 600 + [(kinds[3], 0)] * 2_000
+    ids = (i for i in range(10_000) if zlib.crc32(str(i).encode()) % 5)
+    rows = [(next(ids), t.format(i=name[n % 97], j=name[n % 89], c=name[n % 10]), y) for n, (t, y) in enumerate(texts)]
+    unread = [i for i in range(20_000, 21_000) if zlib.crc32(str(i).encode()) % 5 == 0][:4]
+    new = ["sol tontazo luz", "sol bribonzudo luz", "sol pest luz", "sol dia luz"]
+    docs = spark.createDataFrame([*[r[:2] for r in rows], *zip(unread, new)], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    found = {r.doc_id: r.predicted for r in score_toxicity(docs, labels).collect() if r.held_out}
+    assert [found[i] for i in unread] == [1, 1, 1, 0]
