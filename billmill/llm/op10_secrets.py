@@ -1,9 +1,10 @@
 """Secret scans with corpus-wide ownership, on built-in functions only.
 
 Candidates are found by pattern; their places come from the lengths of the matches and of the text between
-them. Equal values are then counted over the corpus by document and by owner (the ``source`` of a document).
-A value that several owners hold is a copied example; one that a single owner holds and that looks random
-is taken for a live credential. The base kinds (assign, access, hex) are always reported; the ownership
+them. Equal values are then counted over the corpus by distinct document (equal texts are one document) and by
+distinct owner (the ``source`` of a document). A value in many documents, or of several owners, is a copied
+example; a second owner that holds only copies of the first one's documents does not count. A value that is
+not copied and that looks random is taken for a live credential. The base kinds (assign, access, hex) are always reported; the ownership
 decides which candidates of the wider kinds (prefixed, key block, opaque) become spans as well.
 
 Rows with one doc_id and one text share their result. A null or empty text has no spans. A null source
@@ -30,7 +31,9 @@ WIDER = {
     "opaque": (r"[A-Za-z0-9+/_-]{24,}", 24),
 }
 KINDS = [*BASE, *WIDER]
-LIVE_OWNERS = 1  # a value that more owners hold is a copied example
+LIVE_OWNERS = 1  # a value that more owners hold is a copied example,
+COPY_OWNERS = 2  # or more than these, if all its documents are found with one of them
+LIVE_DOCUMENTS = 20  # a value in more distinct documents is a copied example, also of one owner
 DISTINCT_CHARACTERS = 10  # of a value that looks random
 
 
@@ -81,27 +84,36 @@ def looks_random(value: Column, kind: Column) -> Column:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Per value: its documents and owners. Counted per owner first, so a hot value is few rows per owner."""
-    per_owner = found.groupBy("secret_hash", "owner").agg(F.count(F.lit(1)).alias("n"))
-    return per_owner.groupBy("secret_hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_found"))
+    """Per value: its distinct documents (texts), its owners, and the documents of the owner that holds most.
+
+    Counted per document and per owner first, so a hot value is few rows per task in the last step.
+    """
+    held = found.groupBy("secret_hash", "text_hash", "owner").agg(F.count(F.lit(1)).alias("n"))
+    per_owner = held.groupBy("secret_hash", "owner").agg(F.count(F.lit(1)).alias("n"))
+    per_text = held.groupBy("secret_hash", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    owners = per_owner.groupBy("secret_hash").agg(F.count(F.lit(1)).alias("n_owners"), F.max("n").alias("n_most"))
+    documents = per_text.groupBy("secret_hash").agg(F.count(F.lit(1)).alias("n_documents"))
+    return owners.join(documents, "secret_hash")
 
 
 def scan(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", live_owners: int = LIVE_OWNERS
 ) -> DataFrame:
     """One row per document row that holds a span: doc_id, text_hash, owner, ``spans`` (array of kind, start,
-    end, base, n_owners, live), sorted by start and kind."""
+    end, base, n_owners, live, copied), sorted by start and kind."""
     found = candidates(docs, doc_id, text, owner).withColumn("secret_hash", F.sha2("secret", 256))
     found = stored(
         found.withColumn("random", looks_random(F.col("secret"), F.col("kind"))).drop("secret"), "candidates"
     )
     judged = found.join(ownership(found), "secret_hash")
+    one_source = (F.col("n_owners") <= COPY_OWNERS) & (F.col("n_most") == F.col("n_documents"))
+    copied = (F.col("n_documents") > LIVE_DOCUMENTS) | ((F.col("n_owners") > live_owners) & ~one_source)
     order = F.create_map(*[F.lit(x) for i, kind in enumerate(KINDS) for x in (kind, i)])
-    judged = judged.withColumns(
+    judged = judged.withColumn("copied", copied).withColumns(
         {
             "rank": order[F.col("kind")],
             "base": F.col("kind").isin(*BASE),
-            "live": (F.col("n_owners") <= live_owners) & F.col("random"),
+            "live": ~F.col("copied") & F.col("random"),
         }
     ).where(F.col("base") | F.col("live"))
     # A wider span that touches one found before it (base ones first) adds nothing.
@@ -118,7 +130,7 @@ def scan(
         F.col("next_base").isNull() | (F.col("next_base") >= F.col("end"))
     )
     kept = marked.where(F.col("base") | apart)
-    span = F.struct("start", "rank", "end", "kind", "base", "n_owners", "live")
+    span = F.struct("start", "rank", "end", "kind", "base", "n_owners", "live", "copied")
     return kept.groupBy("doc_id", "text_hash", "owner").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
@@ -187,5 +199,5 @@ def op10_secrets(spark, folder: str) -> DataFrame:
         F.sha2(listed(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
         live.alias("n_live"),
-        F.size(F.filter("spans", lambda s: s["n_owners"] > LIVE_OWNERS)).cast("long").alias("n_copied"),
+        F.size(F.filter("spans", lambda s: s["copied"])).cast("long").alias("n_copied"),
     )

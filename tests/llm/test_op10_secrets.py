@@ -74,3 +74,13 @@ def test_boundary_and_empty(spark, boundary, folder):
     assert redact(boundary).where(F.col("text") == "another text").count() == 1
     assert redact(boundary.limit(0)).collect() == []
     assert op10_secrets(spark, folder(documents=boundary)).count() == boundary.count()
+
+
+def test_documents_and_owners_decide(spark):
+    hot, copy, two = (f"{GITHUB}{c}" for c in "345")
+    rows = [(i, f"example {i}: {hot} {hot}", "hot") for i in range(30)]
+    rows += [(40, f"copied {copy}", "a"), (41, f"copied {copy}", "b"), (42, f"other {copy}", "a")]
+    rows += [(50 + i, f"spread {two}", f"s{i}") for i in range(3)]
+    found = scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id: [s.kind for s in r.spans] for r in found} == {i: ["prefixed"] for i in (40, 41, 42)}
+    assert all(s.live and s.n_owners == 2 for r in found for s in r.spans)
