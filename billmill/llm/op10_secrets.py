@@ -27,7 +27,11 @@ BASE = {
 }
 WIDER = {
     "prefixed": (r"(?:gh[opsur]_|github_pat_|glpat-|xox[abps]-|sk-|AIza)[A-Za-z0-9_-]{20,}", 24),
-    "keyblock": (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 24),
+    # From the header to the END line; a header without one is no block. The body may hold some single dashes.
+    "keyblock": (
+        r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----([^-]*+(?:-(?!----)[^-]*+){0,200}+)-----END [A-Z ]{0,40}PRIVATE KEY-----",
+        24,
+    ),
     "opaque": (r"[A-Za-z0-9+/_-]{24,}", 24),
 }
 KINDS = [*BASE, *WIDER]
@@ -66,18 +70,25 @@ def candidates(docs: DataFrame, doc_id: str, text: str, owner: str) -> DataFrame
     end = F.sum(F.col("gap") + F.char_length("value")).over(before)
     once = matched.dropDuplicates(["doc_id", "text_hash", "owner", "kind", "nth"])
     placed = once.withColumn("end", end).withColumn("start", F.col("end") - F.char_length("value"))
-    # What is compared over the corpus: of an assignment, the assigned value.
-    secret = F.when(
-        F.col("kind") == "assign", F.regexp_extract("value", BASE["assign"][0], 2)
-    ).otherwise(F.col("value"))
+    # What is compared over the corpus: of an assignment, the assigned value; of a key block, its body, however
+    # the lines are broken.
+    body = F.regexp_extract("value", WIDER["keyblock"][0], 1)
+    secret = (
+        F.when(F.col("kind") == "assign", F.regexp_extract("value", BASE["assign"][0], 2))
+        .when(F.col("kind") == "keyblock", F.regexp_replace(body, r"\s|\\[nr]", ""))
+        .otherwise(F.col("value"))
+    )
     least = F.create_map(*[F.lit(x) for kind, (_, n) in kinds.items() for x in (kind, n)])
     placed = placed.withColumn("secret", secret).where(F.char_length("secret") >= least[F.col("kind")])
     return placed.select("doc_id", "text_hash", "owner", "kind", "start", "end", "secret")
 
 
 def looks_random(value: Column, kind: Column) -> Column:
-    """Digits, letters and many different characters; both cases too where the pattern asks for little."""
-    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+    """Digits, letters and many different characters; both cases too where the pattern asks for little.
+
+    A key block needs no digits.
+    """
+    mixed = (value.rlike("[0-9]") | (kind == "keyblock")) & value.rlike("[A-Za-z]")
     cased = value.rlike("[A-Z]") & value.rlike("[a-z]")
     varied = F.size(F.array_distinct(F.split(value, ""))) >= DISTINCT_CHARACTERS
     return mixed & varied & ((kind != "opaque") | cased)
@@ -116,20 +127,22 @@ def scan(
             "live": ~F.col("copied") & F.col("random"),
         }
     ).where(F.col("base") | F.col("live"))
-    # A wider span that touches one found before it (base ones first) adds nothing.
+    # A wider span that touches one found before it (base ones first) adds nothing. A key block always stays: a
+    # base span can cover no more than a part of it.
+    block = F.col("kind") == "keyblock"
     in_doc = Window.partitionBy("doc_id", "text_hash", "owner")
     before = in_doc.orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, -1)
     after = in_doc.orderBy("start", "rank").rowsBetween(1, Window.unboundedFollowing)
     marked = judged.withColumns(
         {
             "reached": F.max("end").over(before),
-            "next_base": F.min(F.when(F.col("base"), F.col("start"))).over(after),
+            "next_base": F.min(F.when(F.col("base") | block, F.col("start"))).over(after),
         }
     )
     apart = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (
         F.col("next_base").isNull() | (F.col("next_base") >= F.col("end"))
     )
-    kept = marked.where(F.col("base") | apart)
+    kept = marked.where(F.col("base") | block | apart)
     span = F.struct("start", "rank", "end", "kind", "base", "n_owners", "live", "copied")
     return kept.groupBy("doc_id", "text_hash", "owner").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
