@@ -127,22 +127,23 @@ def scan(
             "live": ~F.col("copied") & F.col("random"),
         }
     ).where(F.col("base") | F.col("live"))
-    # A wider span that touches one found before it (base ones first) adds nothing. A key block always stays: a
-    # base span can cover no more than a part of it.
-    block = F.col("kind") == "keyblock"
-    in_doc = Window.partitionBy("doc_id", "text_hash", "owner")
-    before = in_doc.orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, -1)
-    after = in_doc.orderBy("start", "rank").rowsBetween(1, Window.unboundedFollowing)
-    marked = judged.withColumns(
-        {
-            "reached": F.max("end").over(before),
-            "next_base": F.min(F.when(F.col("base") | block, F.col("start"))).over(after),
-        }
-    )
-    apart = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (
-        F.col("next_base").isNull() | (F.col("next_base") >= F.col("end"))
-    )
-    kept = marked.where(F.col("base") | block | apart)
+    # Wider spans that touch base ones or key blocks add nothing and go first; key blocks stay, as a base span can
+    # cover no more than a part of one. Of the others the first of those that overlap stays. Runs of one kind lie
+    # apart, and a prefixed value lies within one opaque run: an opaque span goes if a prefixed one starts with it,
+    # and a prefixed one if it lies in an opaque span that stays.
+    in_doc = Window.partitionBy("doc_id", "text_hash", "owner").orderBy("start", "rank")
+    before = in_doc.rowsBetween(Window.unboundedPreceding, -1)
+    after = in_doc.rowsBetween(1, Window.unboundedFollowing)
+
+    def apart(firm: Column) -> Column:
+        reached, following = F.max(F.when(firm, F.col("end"))).over(before), F.min(F.when(firm, F.col("start"))).over(after)
+        return (F.coalesce(reached, F.lit(0)) <= F.col("start")) & (following.isNull() | (following >= F.col("end")))
+
+    kept = judged.withColumn("firm", F.col("base") | (F.col("kind") == "keyblock"))
+    kept = kept.withColumn("stays", F.col("firm") | apart(F.col("firm"))).where("stays")
+    for kind, over in (("opaque", "prefixed"), ("prefixed", "opaque")):
+        reached = F.coalesce(F.max(F.when(F.col("kind") == over, F.col("end"))).over(before), F.lit(0))
+        kept = kept.withColumn("stays", (F.col("kind") != kind) | (reached <= F.col("start"))).where("stays")
     span = F.struct("start", "rank", "end", "kind", "base", "n_owners", "live", "copied")
     return kept.groupBy("doc_id", "text_hash", "owner").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 

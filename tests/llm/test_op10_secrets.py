@@ -111,3 +111,17 @@ def test_key_blocks(spark):
     assert clean[1] == "a [SECRET] b" and clean[2] == "a [SECRET]"
     assert clean[3] == "[SECRET] c" and clean[4] == "x" * 20 + "[SECRET] d"
     assert clean[5] == texts[5] and clean[8] == texts[8]
+
+
+def test_dropped_spans_hide_nothing(spark):
+    first, second = f"{GITHUB}6", f"{GITHUB}7"
+    texts = {
+        1: f"team/Proj7/{first}/0123456789abcdef01234567 x",
+        2: f"{first}8/{second}8 x",
+        3: f"team/Proj7/{second}/zZ x",
+    }
+    df = spark.createDataFrame([(i, t, f"s{i}") for i, t in texts.items()], "doc_id long, text string, source string")
+    kinds = {r.doc_id: [s.kind for s in r.spans] for r in scan(df).collect()}
+    assert kinds == {1: ["prefixed", "hex"], 2: ["prefixed", "prefixed"], 3: ["opaque"]}
+    clean = {r.doc_id: r.text for r in redact(df).collect()}
+    assert clean == {1: "team/Proj7/[SECRET]/[SECRET] x", 2: "[SECRET]/[SECRET] x", 3: "[SECRET] x"}
