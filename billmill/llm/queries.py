@@ -6,6 +6,7 @@ from billmill.llm import op1_jaccard_join as op1
 from billmill.llm import op3_suffix_dedup as op3
 from billmill.llm import op5_decontaminate as op5
 from billmill.llm import op9_quality as op9
+from billmill.llm import op11_collocations as op11
 from billmill.llm import op12_source_audit as op12
 from billmill.llm import op13_exact_dedup as op13
 from billmill.llm.op2_lm_score import op2_lm_score
@@ -27,6 +28,7 @@ _ALL = (
     op8_packed_ids,
     op9.op9_quality_rules,
     op10_secrets,
+    op11.op11_collocations,
     op12.op12_source_audit,
     op13.op13_exact_dedup,
 )
@@ -38,6 +40,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_suffix_dedup": op3.SQL,
     "op5_decontaminate": op5.SQL,
     "op9_quality_rules": op9.SQL,
+    "op11_collocations": op11.SQL,
     "op12_source_audit": op12.SQL,
     "op13_exact_dedup": op13.SQL,
 }
