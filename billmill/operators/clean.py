@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,14 +36,17 @@ def null_na_tokens(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.withColumns({name: null_if_na(name) for name in texts})
 
 
-def parse_bill_date(df: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
+def parse_bill_date(df: DataFrame, date_format: str | Sequence[str] = DATE_FORMAT) -> DataFrame:
     """Parse the required bill date in place and add its standard form and calendar parts."""
     if BILL_DATE not in df.columns:
         raise ValueError(f"the bills have no column {BILL_DATE!r}")
+    return _dated(df.withColumn(STD_DATE, parse_date(BILL_DATE, date_format)))
+
+
+def _dated(df: DataFrame) -> DataFrame:
     day = col(STD_DATE)
     return (
-        df.withColumn(STD_DATE, parse_date(BILL_DATE, date_format))
-        .withColumn(BILL_DATE, day)
+        df.withColumn(BILL_DATE, day)
         .withColumns(
             {
                 "Bill_Year": F.year(day),
@@ -66,6 +71,46 @@ def coerce_measures(df: DataFrame) -> DataFrame:
     return parse_numbers(df, present(df, MEASURES))
 
 
+# What a bill was found to hold when it was landed: its day, its measures, and the stage that it reaches.
+MARKED_DAY, MARKED_STAGE = "_day", "_stage"
+UNDATED, DATED, MEASURED = 0, 1, 2
+
+
+def marked_measure(name: str) -> str:
+    return f"_measure_{MEASURES.index(name)}"
+
+
+def mark_bills(df: DataFrame, date_format: str | Sequence[str] = DATE_FORMAT) -> DataFrame:
+    """Add the parsed day and measures beside the texts, and the stage that the bill reaches.
+
+    Bills are parsed here once, on their way into the raw zone; staging and stage counts read what is written there.
+    """
+    if BILL_DATE not in df.columns:
+        raise ValueError(f"the bills have no column {BILL_DATE!r}")
+    measures = present(df, MEASURES)
+    texts = {marked_measure(name): col(name) for name in measures}
+    marked = parse_numbers(df.withColumn(MARKED_DAY, parse_date(BILL_DATE, date_format)).withColumns(texts), list(texts))
+    measured = F.coalesce(*[F.col(name) for name in texts]).isNotNull() if texts else F.lit(True)
+    stage = F.when(F.col(MARKED_DAY).isNull(), UNDATED).when(measured, MEASURED).otherwise(DATED)
+    return marked.withColumn(MARKED_STAGE, stage.cast("tinyint"))
+
+
+def is_marked(df: DataFrame) -> bool:
+    return MARKED_STAGE in df.columns
+
+
+def marks(df: DataFrame) -> list[str]:
+    """The columns that ``mark_bills`` has added."""
+    return [name for name in (MARKED_DAY, MARKED_STAGE, *map(marked_measure, MEASURES)) if name in df.columns]
+
+
+def read_marks(df: DataFrame) -> DataFrame:
+    """The bills with a day and a measure, both as they were parsed on landing."""
+    measures = {name: F.col(marked_measure(name)) for name in present(df, MEASURES)}
+    kept = df.where(F.col(MARKED_STAGE) == MEASURED).withColumn(STD_DATE, F.col(MARKED_DAY))
+    return _dated(kept).withColumns(measures).drop(*marks(df))
+
+
 def drop_empty_measures(df: DataFrame) -> DataFrame:
     """Drop rows in which every measure the input has is missing."""
     measures = present(df, MEASURES)

@@ -6,30 +6,52 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from billmill.functions.text import col
-from billmill.workspace import stored
+from billmill.sources.files import Files
+from billmill.workspace import stored_at
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number in the lower 33 bits
+RANGE_BYTES = 256 << 20
 
 
-def number_rows(df: DataFrame, order: Sequence[str], key: str, key_type: str = "bigint") -> DataFrame:
+def n_ranges(stored_bytes: int, range_bytes: int = RANGE_BYTES) -> int:
+    """How many ranges a stored table is numbered in: as many as its bytes fill."""
+    return max(1, -(-stored_bytes // range_bytes))
+
+
+def number_rows(
+    df: DataFrame,
+    order: Sequence[str],
+    key: str,
+    key_type: str = "bigint",
+    range_bytes: int = RANGE_BYTES,
+) -> DataFrame:
     """Add ``key`` = 1, 2, 3, ... in the given order, NULLs first, without one task seeing all rows.
 
-    Same numbers as ``row_number()`` over a window without partitions. The rows are split by range and
-    sorted in parallel, and each range starts after the rows of the ranges before it. ``order`` should
-    be a total order: then reruns give the same keys, and a hot value is split over several ranges.
+    Same numbers as ``row_number()`` over a window without partitions. The rows are stored, split by range and
+    sorted in parallel, and each range starts after the rows of the ranges before it. The number of ranges follows
+    from the bytes stored, not from the session's settings. ``order`` should be a total order: then reruns give the
+    same keys. Rows that are equal in ``order`` are split over several ranges all the same, by all their columns and
+    then by their place in the stored table, so a value that a third of all rows share is no hot range; which of
+    such rows comes first is only defined as far as their other columns differ.
 
     The placed rows are written to the shared folder, so the offsets and the keys come from the very same
-    ranges even if an executor is lost, and the counts read one column. ``df`` is read twice (once to find
-    the ranges): store it first if it is costly. The offsets are one row per range, few enough to broadcast.
+    ranges even if an executor is lost, and the counts read one column. The offsets are one row per range, few
+    enough to broadcast.
     """
-    by = [col(name).asc_nulls_first() for name in order]
+    spark = df.sparkSession
+    rows, folder = stored_at(df, "unnumbered")
+    ranges = n_ranges(Files(spark).size(folder), range_bytes)
+    settled = F.struct(F.xxhash64(*[col(name) for name in df.columns]), F.monotonically_increasing_id())
+    by = [*[col(name).asc_nulls_first() for name in order], F.col("_tie").asc()]
     placed = (
-        df.repartitionByRange(*by)
+        rows.withColumn("_tie", settled)
+        .repartitionByRange(ranges, *by)
         .sortWithinPartitions(*by)
+        .drop("_tie")
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_range", F.shiftright("_at", _ROW_BITS))
     )
-    placed = stored(placed, "numbered")
+    placed, _ = stored_at(placed, "numbered")
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_range")

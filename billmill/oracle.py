@@ -264,6 +264,23 @@ def oracle_sql() -> dict[str, str]:
         "build_staging": f"WITH {_STAGED} SELECT {_RENAMED} FROM staged",
         "parse_bill_date": f"""WITH {_BILLS}, {_PARSED}
 SELECT "UMIS BILL ID", {_q(_DATE)} AS service_end_text, "BillDate_Std" AS {_q(_DATE)} FROM parsed""",
+        "parse_iso_dates": f"""WITH {_BILLS}
+SELECT "UMIS BILL ID", CASE WHEN l_partkey % 97 <> 0 AND l_linenumber < 7 THEN CAST(l_shipdate AS DATE) END AS "BillDate_Std"
+FROM bills JOIN (SELECT DISTINCT {_ORDER}, l_shipdate FROM lineitem) AS lines USING ({_ORDER})""",
+        "infer_date_formats": """SELECT written, found, COUNT(*) FILTER (WHERE l_partkey % 97 <> 0) AS dated FROM lineitem, (VALUES
+  ('yyyy-MM-dd', 'yyyy-M-d'), ('d-MMM-yyyy', 'd-MMM-yyyy'), ('yyyyMMdd', 'yyyyMMdd'), ('MMMM d, yyyy', 'MMMM d, yyyy'),
+  ('yyyy-MM-dd HH:mm:ss', 'yyyy-M-d H:mm:ss'), ('M/d/yyyy h:mm:ss a', 'M/d/yyyy h:mm:ss a')) AS formats(written, found)
+GROUP BY written, found""",
+        "scan_csv_quoted_breaks": f"""WITH {_BILLS}
+SELECT "UMIS BILL ID", 'first "line"' || chr(10) || chr(10) || "Location" || chr(10) AS "Location",
+  CASE WHEN l_partkey % 3 = 0 THEN 'a,' || chr(10) || "Borough" ELSE "Borough" END AS "Borough" FROM bills""",
+        "staging_of_year": f"""WITH {_STAGED}
+SELECT "UMIS BILL ID", "BillDate_Std", "Borough", "Bill_Year", {_KWH} AS "Consumption _KWH_" FROM staged WHERE "Bill_Year" = 1995""",
+        "usage_in_stored_order": f"""WITH {_STAGED}
+SELECT ROW_NUMBER() OVER (ORDER BY bill_year, borough) AS place, * FROM ({_USAGE}) AS usage""",
+        "export_in_order": f"""WITH {_staged(
+            ["Development Name", "UMIS BILL ID", "Meter Number"], ["Current Charges", "Consumption (KWH)"])}
+SELECT ROW_NUMBER() OVER (ORDER BY {_ORDER}) AS place, "UMIS BILL ID", {_FLAG} FROM staged""",
         "calendar_parts": f"""WITH {_BILLS}, {_PARSED}
 SELECT "UMIS BILL ID", "BillDate_Std", {_PARTS} FROM parsed""",
         "na_tokens": f"""WITH {_BILLS}

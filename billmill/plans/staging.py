@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billmill.functions.dates import DATE_FORMAT
-from billmill.functions.text import col
+from billmill.functions.dates import DATE_FORMAT, DATE_FORMATS, matching_format
+from billmill.functions.text import col, null_if_na
 from billmill.operators.clean import (
+    DATED,
+    MARKED_STAGE,
+    MEASURED,
     add_daily_ratios,
     add_unit_cost,
     coerce_measures,
     drop_undated,
     fill_unknown,
+    is_marked,
+    mark_bills,
+    marks,
     null_na_tokens,
     parse_bill_date,
     present,
+    read_marks,
 )
 from billmill.operators.dedup import keep_first
 from billmill.operators.median import exact_median, flag_above
@@ -29,14 +36,32 @@ from billmill.workspace import stored
 _LISTED = (BILL_DATE, *DIMENSIONS, *MEASURES)
 
 
+def infer_date_format(raw: DataFrame, order: Sequence[str] = FILE_ORDER) -> str | Sequence[str]:
+    """The format of the first bill date in ``order``, for all bills; all known formats, each text by itself, if the
+    first one is no date in any of them.
+
+    One narrow pass over the dates: the smallest place per task, one row in the end.
+    """
+    place = F.struct(*[col(name) for name in order])
+    texts = raw.select(null_if_na(BILL_DATE).alias("text"), place.alias("place")).where("text is not null")
+    return date_format_of(raw.sparkSession, texts.agg(F.min_by("text", "place")).first()[0])
+
+
+def date_format_of(spark: SparkSession, text: str | None) -> str | Sequence[str]:
+    found = matching_format(spark, text) if text is not None else None
+    return found or DATE_FORMATS
+
+
 def clean_bills(
-    raw: DataFrame, order: Sequence[str] = FILE_ORDER, date_format: str = DATE_FORMAT
+    raw: DataFrame, order: Sequence[str] = FILE_ORDER, date_format: str | Sequence[str] = DATE_FORMAT
 ) -> DataFrame:
     """The row-level steps: no shuffle. Blanks become members of a key before keys are compared.
 
     Only unlisted columns need the token step: filling covers the dimensions, and no token parses as a
-    day or a number.
+    day or a number. Marked bills are not parsed again.
     """
+    if is_marked(raw):
+        return raw.transform(null_na_tokens, (*order, *_LISTED)).transform(read_marks).transform(fill_unknown)
     return (
         raw.transform(null_na_tokens, (*order, *_LISTED))
         .transform(parse_bill_date, date_format)
@@ -71,14 +96,20 @@ def add_metrics(bills: DataFrame) -> DataFrame:
     return flag_above(bills, KWH, exact_median(bills, KWH), "HighUsageFlag")
 
 
+def staged_bills(
+    raw: DataFrame, order: Sequence[str] = FILE_ORDER, date_format: str | Sequence[str] = DATE_FORMAT
+) -> DataFrame:
+    """The stored first bills, with their place in ``order``. Marked bills are read as they are."""
+    return stored(clean_bills(raw, order, date_format).transform(first_bills, order), "first-bills")
+
+
 def build_staging(
-    raw: DataFrame, order: Sequence[str] = FILE_ORDER, date_format: str = DATE_FORMAT
+    raw: DataFrame, order: Sequence[str] = FILE_ORDER, date_format: str | Sequence[str] = DATE_FORMAT
 ) -> DataFrame:
     """The whole way. The first bills are stored once, so that the raw bills are parsed and deduplicated
     once; the median then reads one stored column, and the metrics are added on the way to the reader.
     """
-    bills = clean_bills(raw, order, date_format).transform(first_bills, order).drop(*order)
-    return add_metrics(stored(bills, "first-bills"))
+    return add_metrics(staged_bills(raw, order, date_format).drop(*order))
 
 
 def staging_names(df: DataFrame) -> DataFrame:
@@ -90,33 +121,28 @@ def stage_counts(
     raw: DataFrame,
     staged: DataFrame,
     order: Sequence[str] = FILE_ORDER,
-    date_format: str = DATE_FORMAT,
+    date_format: str | Sequence[str] = DATE_FORMAT,
 ) -> DataFrame:
     """One row per stage: its rows and columns. ``staged`` is counted as it is stored.
 
-    The row-level stages are conditional counts over the date and measures of the raw bills. They are not
-    observed while staging is written: tasks before a shuffle that run again after a lost executor would
-    count their rows twice.
+    The marks that landing has written beside the rows say which stage each bill reaches, so one short column is
+    read and no text is parsed again. They are counted from the committed files: a task that runs again, before or
+    after, changes nothing. Bills without marks are marked (parsed) here.
     """
-    marked = raw.transform(parse_bill_date, date_format)
-    dated = col(STD_DATE).isNotNull()
-    marked = marked.transform(fill_unknown).transform(coerce_measures)
-    measures = present(marked, MEASURES)
-    measured = dated
-    if measures:
-        measured = dated & F.coalesce(*[col(m) for m in measures]).isNotNull()
-
-    n_raw = len(raw.columns) - len(order)
-    n_clean = len(marked.columns) - len(order)
-    derived = marked.transform(add_daily_ratios).transform(add_unit_cost).columns
-    n_final = len(derived) + (KWH in derived) - len(order)  # and the flag
+    marked = raw if is_marked(raw) else mark_bills(raw, date_format)
+    stage = F.col(MARKED_STAGE)
     counts = marked.agg(
         F.count(F.lit(1)).alias("raw"),
-        F.count_if(dated).alias("dated"),
-        F.count_if(measured).alias("measured"),
+        F.count_if(stage >= DATED).alias("dated"),
+        F.count_if(stage >= MEASURED).alias("measured"),
     )
     counts = counts.withColumn("staged", staged.agg(F.count(F.lit(1))).scalar())
-    stages = {"raw": n_raw, "dated": n_clean, "measured": n_clean, "staged": n_final}
+
+    given = [name for name in raw.columns if name not in {*order, *marks(raw)}]
+    clean = raw.select(*[col(name) for name in given]).limit(0).transform(parse_bill_date).transform(coerce_measures)
+    n_clean = len(clean.columns)
+    derived = clean.transform(add_daily_ratios).transform(add_unit_cost).columns
+    stages = {"raw": len(given), "dated": n_clean, "measured": n_clean, "staged": len(derived) + (KWH in derived)}
     lines = [
         F.struct(
             F.lit(place).alias("place"),

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billmill.functions.dates import DATE_FORMAT
 from billmill.operators.checks import duplicate_keys, foreign_key_report, null_report, primary_key_report
+from billmill.operators.clean import mark_bills
 from billmill.plans import contract, star
-from billmill.plans.staging import build_staging, stage_counts, staging_names
+from billmill.plans.staging import add_metrics, date_format_of, stage_counts, staged_bills, staging_names
 from billmill.schema import (
+    BILL_DATE,
     CONTRACT,
     CONTRACT_FOREIGN_KEYS,
     DIM_DEVELOPMENT,
@@ -19,24 +21,32 @@ from billmill.schema import (
     DIM_VENDOR,
     DUPLICATE_KEYS,
     STAGING_RENAMES,
+    STD_DATE,
 )
 from billmill.session import Sizing, sized, tune
-from billmill.sources.bill_files import land_raw, read_bills_csv, write_bills_csv
-from billmill.sources.tables import Version, create_namespace, publish, write_version
+from billmill.sources.bill_files import FILE_ORDER, OrderedExport, first_text, land_raw, read_bills_csv
+from billmill.sources.files import Files
+from billmill.sources.tables import Version, create_namespace, publish_together, settle, write_version
 
 
 @dataclass
 class Load:
-    """Where bills come from and where tables go. All paths are URIs that every executor can reach."""
+    """Where bills come from and where tables go. All paths are URIs that every executor can reach.
+
+    ``date_format`` None means the format of the first date in file order. ``multi_line`` None looks for line breaks
+    in quotes, which costs one more scan of the text; False says that there are none. A load whose share of dated bills
+    is below ``least_dated``, or that keeps no bill at all, is refused. ``input_bytes`` 0 is measured.
+    """
 
     bills: str
     folder: str
     namespace: str = "billing"
-    date_format: str = DATE_FORMAT
-    multi_line: bool = False
+    date_format: str | None = None
+    multi_line: bool | None = None
     record_source: str = "monthly_bills"
     export: str | None = None
     input_bytes: int = 0
+    least_dated: float = 0.0
 
 
 def _refuse(found: DataFrame, said: str) -> None:
@@ -46,34 +56,70 @@ def _refuse(found: DataFrame, said: str) -> None:
         raise ValueError(f"{said}: " + ", ".join(": ".join(map(str, line)) for line in bad))
 
 
+def _refuse_lost_bills(counts: DataFrame, load: Load, date_format: str | Sequence[str]) -> None:
+    """Stop if the bills are lost on the way: an unknown date format leaves none, and would replace good tables."""
+    rows = {line.stage: line.row_count for line in counts.collect()}
+    said = ", ".join(f"{stage} {n}" for stage, n in rows.items())
+    tried = date_format if isinstance(date_format, str) else "every known format"
+    if rows["raw"] and not rows["dated"]:
+        raise ValueError(f"no bill has a date ({tried}): {said}")
+    if rows["dated"] < load.least_dated * rows["raw"]:
+        raise ValueError(f"less than {load.least_dated:.0%} of the bills have a date ({tried}): {said}")
+    if rows["raw"] and not rows["staged"]:
+        raise ValueError(f"no bill is left: {said}")
+
+
 class _Store:
     """Writes versions and publishes their names together, after all checks."""
 
-    def __init__(self) -> None:
+    def __init__(self, folder: str) -> None:
+        self.folder = folder
         self.versions: list[Version] = []
 
-    def __call__(self, df: DataFrame, table: str, folder: str) -> DataFrame:
-        self.versions.append(write_version(df, table, folder))
+    def __call__(self, df: DataFrame, table: str, folder: str, **layout: Sequence[str]) -> DataFrame:
+        self.versions.append(write_version(df, table, folder, **layout))
         return self.versions[-1].rows
 
-    def publish(self) -> None:
-        for version in self.versions:
-            publish(version)
+    def publish(self, spark: SparkSession) -> None:
+        publish_together(spark, self.versions, self.folder)
+
+
+def sizing(spark: SparkSession, load: Load) -> Sizing:
+    return Sizing(load.input_bytes or sum(size for _, size in Files(spark).inputs(load.bills)))
+
+
+def date_format(spark: SparkSession, load: Load) -> str | Sequence[str]:
+    if load.date_format:
+        return load.date_format
+    return date_format_of(spark, first_text(spark, load.bills, BILL_DATE, load.multi_line))
+
 
+def load_staging(spark: SparkSession, load: Load, store: _Store) -> tuple[DataFrame, OrderedExport | None]:
+    """Staging as it is stored, by year of the bill and sorted by its date, and the export that waits beside its place.
 
-def load_staging(spark: SparkSession, load: Load, store: _Store) -> DataFrame:
+    The bills are parsed once, on their way into the raw copy; all else reads what is written there.
+    """
+    shape = date_format(spark, load)
     bills = read_bills_csv(spark, load.bills, load.multi_line)
-    with sized(spark, Sizing(load.input_bytes)):
-        raw = land_raw(bills, f"{load.folder}/raw")
-        staging = staging_names(build_staging(raw, date_format=load.date_format))
-        stored = store(staging, f"{load.namespace}.electric_staging", load.folder)
-    counts = stage_counts(raw, stored, date_format=load.date_format)
-    store(counts, f"{load.namespace}.stage_row_counts", load.folder)
-    if load.export:
-        # The file keeps the names of the bills; only tables need other ones.
-        original = {table_name: name for name, table_name in STAGING_RENAMES.items()}
-        write_bills_csv(stored.withColumnsRenamed(original), load.export)
-    return stored
+    export = None
+    with sized(spark, sizing(spark, load)):
+        raw = land_raw(mark_bills(bills, shape), f"{load.folder}/raw")
+        placed = staged_bills(raw)
+        staging = staging_names(add_metrics(placed.drop(*FILE_ORDER)))
+        stored = store(
+            staging,
+            f"{load.namespace}.electric_staging",
+            load.folder,
+            partition_by=["Bill_Year"],
+            sort_by=[STD_DATE],
+        )
+        counts = store(stage_counts(raw, stored), f"{load.namespace}.stage_row_counts", load.folder)
+        _refuse_lost_bills(counts, load, shape)
+        if load.export:
+            # The rows of the file keep the order and names of the bills; only tables need other names.
+            export = OrderedExport(spark, load.export)
+            export.write(add_metrics(placed), FILE_ORDER)
+    return stored, export
 
 
 _DIMENSIONS = {
@@ -93,7 +139,9 @@ def load_star(staging: DataFrame, load: Load, store: _Store) -> dict[str, DataFr
     for name, (columns, key) in _DIMENSIONS.items():
         if set(columns) <= set(staging.columns):
             tables[name] = keep(name, star.build_dimension(staging, columns, key))
-    tables["fact_borough_year_usage"] = keep("fact_borough_year_usage", star.usage_by_year(staging))
+    name = "fact_borough_year_usage"
+    usage = star.usage_by_year(staging)
+    tables[name] = store(usage, f"{load.namespace}.{name}", load.folder, order_by=["bill_year", "borough"])
     return tables
 
 
@@ -122,18 +170,20 @@ def load_contract(staging: DataFrame, load: Load, store: _Store) -> dict[str, Da
     tables = {name: store(table, f"{namespace}.{name}", folder) for name, table in tables.items()}
     # The keys of deduplication tell staged bills apart, so they order the facts.
     order = [name for name in DUPLICATE_KEYS if name in staging.columns]
-    rows = contract.fact_rows(
-        staging,
-        tables["dim_date"],
-        tables["dim_location"],
-        tables["dim_meter_type"],
-        tables["dim_service_class"],
-        load.record_source,
-        keep=order,
-    )
-    facts = contract.load_fact(rows, order)
-    name = "fact_electric_consumption"
-    tables[name] = store(facts, f"{namespace}.{name}", folder)
+    # The facts move every bill, so these steps are sized by the input as well.
+    with sized(staging.sparkSession, sizing(staging.sparkSession, load)):
+        rows = contract.fact_rows(
+            staging,
+            tables["dim_date"],
+            tables["dim_location"],
+            tables["dim_meter_type"],
+            tables["dim_service_class"],
+            load.record_source,
+            keep=order,
+        )
+        facts = contract.load_fact(rows, order)
+        name = "fact_electric_consumption"
+        tables[name] = store(facts, f"{namespace}.{name}", folder)
     return tables
 
 
@@ -184,13 +234,27 @@ def check_contract(tables: dict[str, DataFrame]) -> DataFrame:
 def run(spark: SparkSession, load: Load) -> dict[str, DataFrame]:
     """Load everything and return the stored tables by name.
 
-    Names move only after every table is written and every check has passed; a refused or failed load
-    leaves all earlier tables as they were.
+    Names and export move only after every table is written and every check has passed, and they move together: a
+    refused or failed load leaves all earlier tables and the earlier export as they were. Names that a lost driver
+    left half moved are brought back first.
     """
     tune(spark)
     create_namespace(spark, load.namespace, f"{load.folder}/namespace")
-    store = _Store()
-    staging = load_staging(spark, load, store)
+    settle(spark, load.folder)
+    store = _Store(load.folder)
+    staging, export = load_staging(spark, load, store)
+    try:
+        tables = load_tables(staging, load, store)
+        _publish(spark, store, export)
+    except BaseException:
+        if export is not None:
+            export.discard()
+        raise
+    return tables
+
+
+def load_tables(staging: DataFrame, load: Load, store: _Store) -> dict[str, DataFrame]:
+    """All tables from the stored staging, checked but not published."""
     _refuse(contract.misfits(staging), "values that do not fit the contract")
     tables = {"electric_staging": staging, **load_star(staging, load, store)}
     declared = load_contract(staging, load, store)
@@ -201,6 +265,18 @@ def run(spark: SparkSession, load: Load) -> dict[str, DataFrame]:
     if (keys := shared_keys(tables)) is not None:
         notes = notes.unionByName(keys)
     notes = store(notes, f"{load.namespace}.load_notes", load.folder)
-    store.publish()
     declared = {f"contract.{name}": table for name, table in declared.items()}
     return tables | declared | {"load_checks": checks, "load_notes": notes}
+
+
+def _publish(spark: SparkSession, store: _Store, export: OrderedExport | None) -> None:
+    """Export and names, or neither."""
+    if export is None:
+        return store.publish(spark)
+    export.swap()
+    try:
+        store.publish(spark)
+    except BaseException:
+        export.undo()
+        raise
+    export.finish()

@@ -15,10 +15,13 @@ from billmill.operators.keys import number_rows
 from billmill.operators.median import exact_median
 from billmill.plans import contract, star
 from billmill.plans.staging import (
+    add_metrics,
     build_staging,
     clean_bills,
     first_bills,
+    infer_date_format,
     stage_counts,
+    staged_bills,
     staging_names,
 )
 from billmill.schema import (
@@ -38,9 +41,16 @@ from billmill.schema import (
     STD_DATE,
 )
 from billmill.session import tune
-from billmill.sources.bill_files import land_raw, read_bills_csv, read_typed_csv, write_bills_csv
+from billmill.sources.bill_files import (
+    FILE_ORDER,
+    OrderedExport,
+    land_raw,
+    read_bills_csv,
+    read_typed_csv,
+    write_bills_csv,
+)
 from billmill.sources.sales_bills import SALES_ORDER, read_sales_bills
-from billmill.sources.tables import create_namespace, replace_table, use_namespace
+from billmill.sources.tables import create_namespace, replace_table, use_namespace, write_version
 from billmill.workspace import new_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +161,53 @@ def sink_replace_table(spark, folder):
         use_namespace(spark, before)
 
 
+@_query
+def scan_csv_quoted_breaks(spark, folder):
+    """Files in which the cells of two columns hold line breaks and quotes."""
+    bills = _bills(spark, folder, _BILL_ID, "Location", "Borough")
+    broken = bills.select(
+        col(_BILL_ID),
+        F.concat(F.lit('first "line"\n\n'), col("Location"), F.lit("\n")).alias("Location"),
+        F.when(F.col("_source_part") % 3 == 0, F.concat(F.lit("a,\n"), col("Borough"))).otherwise(col("Borough")).alias("Borough"),
+    )
+    path = new_folder(spark, "bills-with-breaks")
+    write_bills_csv(broken, path)
+    return read_bills_csv(spark, path, multi_line=None).drop(*FILE_ORDER)
+
+
+@_query
+def staging_of_year(spark, folder):
+    """One year of a staging table that lies in a folder per year."""
+    create_namespace(spark, "billmill_sink", new_folder(spark, "namespace"))
+    staging = _staging(spark, folder, _BILL_ID, "Borough")
+    table = replace_table(
+        staging, "billmill_sink.staging_by_year", new_folder(spark, "tables"), partition_by=["Bill_Year"], sort_by=[STD_DATE]
+    )
+    return table.where("Bill_Year = 1995").select(col(_BILL_ID), STD_DATE, "Borough", "Bill_Year", col(STAGED_KWH))
+
+
+@_query
+def usage_in_stored_order(spark, folder):
+    """The usage fact as its files hold it: the place of each row is its place in the table's layout."""
+    usage = star.usage_by_year(_staging(spark, folder, "Borough"))
+    version = write_version(usage, "usage", new_folder(spark, "tables"), order_by=["bill_year", "borough"])
+    held = spark.read.schema(usage.schema).parquet(version.path)
+    held = held.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    return number_rows(held, ["file", "at"], "place").drop("file", "at")
+
+
+@_query
+def export_in_order(spark, folder):
+    """The export of staging, read back: the place of a bill in its files is its place among the staged bills."""
+    bills = staged_bills(_bills(spark, folder, BILL_DATE, "Development Name", "Meter Number", _BILL_ID, KWH, CHARGES), SALES_ORDER)
+    export = OrderedExport(spark, new_folder(spark, "export"))
+    export.write(add_metrics(bills), SALES_ORDER)
+    export.swap()
+    export.finish()
+    back = read_bills_csv(spark, export.folder).select(col(_BILL_ID), col("HighUsageFlag").cast("bigint").alias("HighUsageFlag"), *FILE_ORDER)
+    return number_rows(back, FILE_ORDER, "place").drop(*FILE_ORDER)
+
+
 @_named("build_staging")
 def build_staging_table(spark, folder):
     raw = stored(_bills(spark, folder), "raw")
@@ -167,6 +224,32 @@ def parse_bill_date(spark, folder):
     return parsed.select(col(_BILL_ID), "service_end_text", col(BILL_DATE))
 
 
+@_query
+def parse_iso_dates(spark, folder):
+    """Bills whose dates are written as ISO dates, but for some: the format of the first one holds for all."""
+    bills = _bills(spark, folder, BILL_DATE, _BILL_ID)
+    iso = F.regexp_replace(BILL_DATE, r"(\d+)/(\d+)/(\d+)", "$3-$1-$2")
+    bills = bills.withColumn(BILL_DATE, F.when(F.col("_source_line") < 7, iso).otherwise(col(BILL_DATE)))
+    parsed = clean.parse_bill_date(bills, infer_date_format(bills, SALES_ORDER))
+    return parsed.select(col(_BILL_ID), STD_DATE)
+
+
+@_query
+def infer_date_formats(spark, folder):
+    """The bills' dates in several formats: the format that is found in each, and the bills it dates."""
+    days = _bills(spark, folder, BILL_DATE).transform(clean.parse_bill_date).transform(clean.drop_undated)
+    days = stored(days.select(STD_DATE, *SALES_ORDER), "days")
+    lines = None
+    for shape in ("yyyy-MM-dd", "d-MMM-yyyy", "yyyyMMdd", "MMMM d, yyyy", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy h:mm:ss a"):
+        texts = days.select(F.date_format(STD_DATE, shape).alias(BILL_DATE), F.col(STD_DATE).alias("day"), *SALES_ORDER)
+        found = infer_date_format(texts, SALES_ORDER)
+        same = F.count_if(col(STD_DATE).eqNullSafe(F.col("day")))
+        line = clean.parse_bill_date(texts, found).agg(same.alias("dated"))
+        line = line.select(F.lit(shape).alias("written"), F.lit(found if isinstance(found, str) else "any").alias("found"), "dated")
+        lines = line if lines is None else lines.unionByName(line)
+    return lines
+
+
 @_query
 def calendar_parts(spark, folder):
     bills = _bills(spark, folder, BILL_DATE, _BILL_ID).transform(clean.parse_bill_date)
@@ -410,7 +493,7 @@ def high_usage_flag(spark, folder):
 
 @_query
 def stage_row_counts(spark, folder):
-    raw = stored(_bills(spark, folder), "raw")
+    raw = stored(clean.mark_bills(_bills(spark, folder)), "raw")
     return stage_counts(raw, stored(build_staging(raw, SALES_ORDER), "staging"), SALES_ORDER)
 
 

@@ -28,11 +28,16 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Like ``stored``, and the folder that holds the rows."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 
     Cuts the lineage for good, and Spark then knows the real size of the result when it chooses a join.
     """
-    folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return stored_at(df, name)[0]
