@@ -6,8 +6,14 @@ offsets) and a fixed-size tail. File names carry the attempt, and only committed
 manifest, so a lost or repeated task leaves no trace. The manifest, one line per file, also holds each
 file's first document and first id; a reader task opens one file and unpacks only the blocks it needs.
 
-Rows of equal doc_id are ordered by text; rows without doc_id come first. A null text is empty: it gets
-the end id only. An empty table gives an empty manifest and no rows. Other columns are ignored.
+Rows of equal doc_id are ordered by the first characters of their texts, then by a hash of the text; rows without
+doc_id come first. They may lie in several files, so one doc_id (or none) on a third of all rows is no hot task. A
+null text is empty: it gets the end id only. An empty table gives an empty manifest and no rows. A very long text is
+encoded alone, its ids are packed block by block. Other columns are ignored.
+
+Words are cut out of texts with patterns of this module only where they are known to agree with the tokenizer: the
+vocabulary file must state the pattern, and every character beyond Latin letters is tried once per worker, alone and
+beside others, against the library. Any other text goes to the library whole.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from billmill.llm.tokens import WHITE_SPACE, WordIds, vocabulary_file
+from billmill.llm.tokens import WHITE_SPACE, WordIds, load_json, vocabulary_file
 from billmill.llm.words import field, slices
 from billmill.workspace import new_folder
 
@@ -147,6 +153,8 @@ class PackedFile:
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:
+    # Hadoop's names for the same store; hdfs:// needs libhdfs on the workers.
+    path = re.sub("^s3[an]://", "s3://", path)
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
@@ -272,32 +280,88 @@ def _tokenizer(vocabulary: str):
     return tokenizer
 
 
-# The words of the vocabulary file's own pattern, in lower-case text.
+# The normalizer and the words of the vocabulary file, as it states them.
+_STATED_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_STATED_WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# The same words in lower-case text.
 _ASCII_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^{WHITE_SPACE}a-z0-9]+")
 _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+")
 # The same for texts whose only other characters are these letters: much faster.
 _LATIN = "\u00df-\u00f6\u00f8-\u00ff"
 _LATIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^{WHITE_SPACE}a-z0-9{_LATIN}]+")
-_BEYOND_LATIN = re.compile(rf"[^\x00-\x7f{_LATIN}]")
+_LATIN_CAPITALS = "\u00c0-\u00d6\u00d8-\u00de"
+_BEYOND_LATIN = re.compile(rf"[^\x00-\x7f{_LATIN}{_LATIN_CAPITALS}]")
 _TOGETHER = 400  # words per call of the library
+# Marks of different combining classes: a character that sorts among them otherwise shows itself.
+_MARKS = "\u0334\u3099\u094d\u05b0\u0327\u0323\u0301\u0345"
+
+
+def states_our_words(vocabulary: dict) -> bool:
+    """Whether the vocabulary file states the normalizer and pattern that this module cuts words by."""
+    normalizers = (vocabulary.get("normalizer") or {}).get("normalizers")
+    steps = (vocabulary.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    split = {"type": "Split", "pattern": {"Regex": _STATED_WORDS}, "behavior": "Removed", "invert": True}
+    rest = [step.get("type") == "ByteLevel" and not step["add_prefix_space"] and not step["use_regex"] for step in steps[1:]]
+    model = vocabulary["model"]
+    ends = bool(model.get("end_of_word_suffix")) and not model.get("dropout") and not model.get("unk_token")
+    return normalizers == _STATED_NORMALIZERS and steps[0] == split and rest == [True] and ends
+
+
+@cache
+def _composed() -> dict[str, list[str]]:
+    """For each character the pairs of characters that compose with it to one."""
+    found: dict[str, list[str]] = {}
+    for code in range(0x80, 0x30000):
+        parts = unicodedata.decomposition(chr(code)).split()
+        if len(parts) == 2 and parts[0][0] != "<":
+            pair = "".join(chr(int(part, 16)) for part in parts)
+            for character in set(pair):
+                found.setdefault(character, []).append(pair)
+    return found
 
 
 class CachedTokenizer:
     """The library's ids of whole texts, computed once per word.
 
-    Valid for vocabularies that drop white space and never join across words, as this one does. Texts with
-    special tokens or with the letter whose lower case depends on its place go to the library as they are.
+    Texts with special tokens, with the letter whose lower case depends on its place, or with a character that has
+    not been found to agree go to the library as they are, and so do all texts of a vocabulary file that states other
+    words.
     """
 
     def __init__(self, vocabulary: str) -> None:
         self.tokenizer = _tokenizer(vocabulary)
+        self.ours = states_our_words(load_json(vocabulary))
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = [*special, "\u03a3"]
-        vocab, suffix = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
+        self.agreed: dict[str, bool] = {}
+        vocab, suffix = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends_word = np.zeros(1 + max(vocab.values()), bool)
         self.ends_word[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
         self.words = WordIds(self._words, 500_000)
 
+    def _agrees(self, character: str) -> bool:
+        """Whether the character is normalised, lowered and cut as the library does it, whatever stands beside it."""
+        if unicodedata.category(character) == "Cn":
+            return False
+        c = character
+        tried = [c, f"a{c}", f"{c}a", f"1{c}", f"{c}1", f"-{c}", f"{c}-", f"a{c}a", f"\u00e9{c}{c}", f"'{c}s"]
+        tried += [f"x{c}{m} x{m}{c}" for m in _MARKS] + _composed().get(c, [])
+        text = " ".join(tried)
+        words = _WORDS.findall(unicodedata.normalize("NFC", text).lower())
+        return b"".join(self._joined(words)) == self._whole(text)
+
+    def _all_agree(self, text: str) -> bool:
+        for character in set(text):
+            if character not in self.agreed:
+                self.agreed[character] = character.isascii() or self._agrees(character)
+            if not self.agreed[character]:
+                return False
+        return True
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -321,12 +385,14 @@ class CachedTokenizer:
         return out
 
     def _cut(self, text: str) -> list[str]:
-        if any(mark in text for mark in self.odd):
+        if not self.ours or any(mark in text for mark in self.odd):
             return [" " + text]
         if text.isascii():
             return _ASCII_WORDS.findall(text.lower())
-        text = unicodedata.normalize("NFC", text).lower()
-        return (_WORDS if _BEYOND_LATIN.search(text) else _LATIN_WORDS).findall(text)
+        normal = unicodedata.normalize("NFC", text).lower()
+        if not _BEYOND_LATIN.search(text):
+            return _LATIN_WORDS.findall(normal)
+        return _WORDS.findall(normal) if self._all_agree(text) and self._all_agree(normal) else [" " + text]
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts after each other, and the number of ids of each text."""
@@ -357,12 +423,13 @@ def write_packed(
     vocabulary: str = VOCABULARY,
     end_id: int | None = END_ID,
 ) -> None:
-    """Encode every text and write the ids in order of doc_id below ``path``: one range of doc_id per file."""
-    ordered = (
-        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
-    )
+    """Encode every text and write the ids in order of doc_id below ``path``: one range of rows per file."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    # Ranges are found from samples of the order columns, so these are short; the last one splits equal rows.
+    order = ["doc_id", F.substring("text", 1, 32), F.xxhash64("text"), F.monotonically_increasing_id()]
+    order = [F.col("doc_id"), *[column.alias(f"_{i}") for i, column in enumerate(order[1:])]]
+    placed = rows.select("doc_id", "text", *order[1:]).repartitionByRange("doc_id", "_0", "_1", "_2")
+    ordered = placed.sortWithinPartitions("doc_id", "_0", "_1", "_2").select("doc_id", "text")
     docs.sparkSession.dataSource.register(PackedIds)
     writer = ordered.write.format("packed_ids").mode("append").option("vocabulary", vocabulary)
     if end_id is not None:

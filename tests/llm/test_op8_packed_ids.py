@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 
@@ -50,6 +51,46 @@ def test_cached_encoding_equals_the_library():
         assert part.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def code_points(step):
+    """Every code point of the first planes' scripts that differ between versions of Unicode, and every ``step``-th one."""
+    return sorted({*range(0x0, 0x3400), *range(0xA000, 0xAC00), *range(0x10000, 0x13000), *(c for c in range(0, 0x110000, step))} - {*range(0xD800, 0xE000)})
+
+
+def test_every_character_is_encoded_as_the_library_does_it():
+    encode = op8.CachedTokenizer(op8.VOCABULARY)
+    texts = [t for c in map(chr, code_points(97)) for t in (c, f"a{c}1{c}-{c} {c}b")] + ["-\U00012479", "\u058b"]
+    rng = random.Random(5)
+    pool = [chr(c) for c in code_points(997)]
+    texts += ["".join(rng.choice([rng.choice(pool), rng.choice("ab1 -'s\t"), rng.choice("ÉßéÏx")]) for _ in range(rng.randrange(30))) for _ in range(20_000)]
+    ids, counts = encode(texts)
+    library = encode.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert [t for t, part, want in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), library) if part.tolist() != want.ids] == []
+
+
+def test_a_vocabulary_with_other_words_goes_to_the_library_whole():
+    other = "byte_bpe_50k.json"
+    encode = op8.CachedTokenizer(other)
+    assert op8.CachedTokenizer(op8.VOCABULARY).ours and not encode.ours
+    texts = ["Some text, it's 12  words\n", "", "été 日本", "x"]
+    ids, counts = encode(texts)
+    want = [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
+def test_one_doc_id_on_all_rows_is_several_files(spark, tmp_path):
+    rows = [(None, "the same text")] * 3000 + [(7, f"text {i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        op8.write_packed(df, str(tmp_path / "ids"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = json.loads((tmp_path / "ids" / "manifest.json").read_text())["files"]
+    assert len(files) == 8 and max(f["docs"] for f in files) < 2000
+    back = op8.read_packed(spark, str(tmp_path / "ids")).orderBy("start").collect()
+    assert [r.doc_id for r in back] == [None] * 3000 + [7] * 3000
+
+
 def expected(rows):
     library, start, out = op8._tokenizer(op8.VOCABULARY), 0, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1] is not None, r[1])):
