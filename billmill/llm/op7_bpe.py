@@ -7,7 +7,10 @@ that made them; that is tested for all neighbours at once. Words with a border t
 pair at a time.
 
 A null text is empty and has no ids. Each row is encoded on its own (no shuffle); equal rows get equal
-results, and other columns are ignored.
+results, and other columns are ignored. An empty table gives an empty result; a very long text is a slice of its own.
+
+Characters beyond Latin-1 are tried once per worker against the library's own pre-tokenizer; texts with one that it
+classes otherwise are cut by the library, and encoded here all the same.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -36,6 +40,8 @@ _PRETOKENS = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE_SPACE}\p{{L}}\p{{N}}]+"
     rf"|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
 )
+_BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
+_CUT = "\uffff"  # before a pre-token that the library has cut; no character, so it is never found to agree
 _NEVER = np.iinfo(np.int64).max
 _TOGETHER = 40  # longer failing words are merged one by one: a round per byte would be slow for them
 
@@ -52,12 +58,25 @@ class Lookup:
         return np.where(self.keys[at] == keys, self.values[at], -1)
 
 
+@cache
+def _pre_tokenizer():
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    return ByteLevel(add_prefix_space=False, use_regex=True)
+
+
+def _library_pretokens(text: str) -> list[str]:
+    return [text[start:end] for _, (start, end) in _pre_tokenizer().pre_tokenize_str(text)]
+
+
 class ByteBPE:
     """A byte-level BPE vocabulary read from a tokenizers file."""
 
     def __init__(self, name: str = VOCABULARY) -> None:
         spec = load_json(name)
-        model = spec["model"]
+        model, steps = spec["model"], spec["pre_tokenizer"]
+        if spec["normalizer"] or steps["type"] != "ByteLevel" or steps["add_prefix_space"] or not steps["use_regex"]:
+            raise ValueError(f"{name}: not a byte-level vocabulary with the published pre-token pattern")
         letters = {letter: byte for byte, letter in byte_letters().items()}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         size = 1 + max([*model["vocab"].values(), *self.special.values()])
@@ -74,6 +93,7 @@ class ByteBPE:
         self.token_lengths, self.token_starts = lengths, np.cumsum(lengths) - lengths
         self._split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.groups = WordIds(self._encode_groups)
+        self.agreed: dict[str, bool] = {}
 
     def _merges(self, model: dict) -> None:
         vocab = model["vocab"]
@@ -261,7 +281,7 @@ class ByteBPE:
         return out
 
     def _encode_groups(self, groups: list[str]) -> list[bytes]:
-        parts = [_PRETOKENS.findall(g) if g not in self.special else [g] for g in groups]
+        parts = [[g] if g in self.special else [g[1:]] if g[0] == _CUT else _PRETOKENS.findall(g) for g in groups]
         distinct = list({part for group in parts for part in group}.difference(self.special))
         ids = dict(zip(distinct, self.encode_words([part.encode() for part in distinct])))
         ids |= {text: np.array([i], "<u4").tobytes() for text, i in self.special.items()}
@@ -269,10 +289,25 @@ class ByteBPE:
 
     def _cut(self, text: str) -> list[str]:
         if self._split is None or self._split.search(text) is None:
-            return _GROUPS.findall(text)
+            return self._grouped(text)
         # a special token is a group of its own
         pieces = self._split.split(text)
-        return [g for p in pieces if p for g in ([p] if p in self.special else _GROUPS.findall(p))]
+        return [g for p in pieces if p for g in ([p] if p in self.special else self._grouped(p))]
+
+    def _grouped(self, text: str) -> list[str]:
+        if _BEYOND_LATIN.search(text) is None or self._all_agree(text):
+            return _GROUPS.findall(text)
+        return [_CUT + piece for piece in _library_pretokens(text)]
+
+    def _all_agree(self, text: str) -> bool:
+        for c in set(text):
+            if c not in self.agreed:
+                tried = f"{c} a{c}1{c}-{c} {c}{c}a '{c}s  {c}"
+                ours = [part for group in _GROUPS.findall(tried) for part in _PRETOKENS.findall(group)]
+                self.agreed[c] = unicodedata.category(c) != "Cn" and ours == _library_pretokens(tried)
+            if not self.agreed[c]:
+                return False
+        return True
 
     def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts after each other, and the number of ids of each text."""

@@ -66,3 +66,33 @@ def test_boundary_and_empty(spark, boundary):
     assert digests(boundary).count() == boundary.count()
     assert digests(boundary.where("text is null")).first().n_tokens == 0
     assert digests(boundary.limit(0)).collect() == []
+
+
+def test_every_character_is_cut_as_the_library_does_it():
+    import random
+
+    import numpy as np
+    from test_op8_packed_ids import code_points
+    from tokenizers import Tokenizer
+
+    from billmill.llm import op7_bpe as op7
+    from billmill.llm.tokens import vocabulary_file
+
+    library = Tokenizer.from_file(vocabulary_file(op7.VOCABULARY))
+    library.no_truncation()
+    texts = [t for c in map(chr, code_points(97)) for t in (c, f"a{c}1{c}-{c} {c}b")] + ["-\U00012479", "\u058b", "\uffffx"]
+    rng = random.Random(6)
+    pool = [chr(c) for c in code_points(997)]
+    texts += ["".join(rng.choice([rng.choice(pool), rng.choice("ab1 -'s\t")]) for _ in range(rng.randrange(30))) for _ in range(20_000)]
+    ids, counts = op7.ByteBPE().encode_texts(texts)
+    want = library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [t for t, part, w in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), want) if part.tolist() != w.ids] == []
+
+
+def test_other_patterns_are_refused():
+    import pytest
+
+    from billmill.llm.op7_bpe import ByteBPE
+
+    with pytest.raises(ValueError, match="pre-token pattern"):
+        ByteBPE("word_bpe_49k.json")
