@@ -7,8 +7,12 @@ example; a second owner that holds only copies of the first one's documents does
 not copied and that looks random is taken for a live credential. The base kinds (assign, access, hex) are always reported; the ownership
 decides which candidates of the wider kinds (prefixed, key block, opaque) become spans as well.
 
-Rows with one doc_id and one text share their result. A null or empty text has no spans. A null source
-is an owner of its own. Places count code points, ends are exclusive. Other columns are ignored.
+A key block reaches from its header to its END line, however long and whatever stands between but another such line
+or five dashes; header and END line are found by pattern, the block is what lies between two neighbours.
+
+Rows with one doc_id and one text share their result. A null or empty text has no spans, an empty table gives an empty
+result. A null source is an owner of its own. Places count code points, ends are exclusive. All work on a very long
+text is linear in its length and its spans. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,11 +31,8 @@ BASE = {
 }
 WIDER = {
     "prefixed": (r"(?:gh[opsur]_|github_pat_|glpat-|xox[abps]-|sk-|AIza)[A-Za-z0-9_-]{20,}", 24),
-    # From the header to the END line; a header without one is no block. The body may hold some single dashes.
-    "keyblock": (
-        r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----([^-]*+(?:-(?!----)[^-]*+){0,200}+)-----END [A-Z ]{0,40}PRIVATE KEY-----",
-        24,
-    ),
+    # The lines around a block; the least length is that of its body.
+    "keyblock": (r"-----(?:BEGIN|END) [A-Z ]*PRIVATE KEY-----", 24),
     "opaque": (r"[A-Za-z0-9+/_-]{24,}", 24),
 }
 KINDS = [*BASE, *WIDER]
@@ -42,12 +43,16 @@ DISTINCT_CHARACTERS = 10  # of a value that looks random
 
 
 def _matches(text: str, kind: str, pattern: str) -> Column:
-    """The matches of one kind and the lengths of the text before each."""
+    """The matches of one kind, the lengths of the text before each, and for key blocks the text after each."""
     found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(F.col(text), pattern, -1), lambda g: F.char_length(g))
-    pairs = F.arrays_zip(found.alias("value"), F.slice(gaps, 1, F.size(found)).alias("gap"))
-    named = F.transform(pairs, lambda p: F.struct(p["value"].alias("value"), p["gap"].alias("gap")))
-    empty = F.array().cast("array<struct<value:string,gap:int>>")
+    between = F.split(F.col(text), pattern, -1)
+    gaps = F.transform(between, lambda g: F.char_length(g))
+    after = F.slice(between, 2, F.size(found)) if kind == "keyblock" else F.array().cast("array<string>")
+    pairs = F.arrays_zip(found.alias("value"), F.slice(gaps, 1, F.size(found)).alias("gap"), after.alias("after"))
+    named = F.transform(
+        pairs, lambda p: F.struct(p["value"].alias("value"), p["gap"].alias("gap"), p["after"].alias("after"))
+    )
+    empty = F.array().cast("array<struct<value:string,gap:int,after:string>>")
     return F.struct(F.lit(kind).alias("kind"), F.when(F.col(text).rlike(pattern), named).otherwise(empty).alias("found"))
 
 
@@ -65,17 +70,22 @@ def candidates(docs: DataFrame, doc_id: str, text: str, owner: str) -> DataFrame
         "owner",
         F.explode(F.array(*[_matches("text", kind, pattern) for kind, (pattern, _) in kinds.items()])).alias("k"),
     ).select("doc_id", "text_hash", "owner", "k.kind", F.posexplode("k.found").alias("nth", "m"))
-    matched = stored(matched.select("doc_id", "text_hash", "owner", "kind", "nth", "m.gap", "m.value"), "matches")
-    before = Window.partitionBy("doc_id", "text_hash", "owner", "kind").orderBy("nth")
-    end = F.sum(F.col("gap") + F.char_length("value")).over(before)
+    matched = stored(matched.select("doc_id", "text_hash", "owner", "kind", "nth", "m.gap", "m.value", "m.after"), "matches")
+    in_order = Window.partitionBy("doc_id", "text_hash", "owner", "kind").orderBy("nth")
+    end = F.sum(F.col("gap") + F.char_length("value")).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     once = matched.dropDuplicates(["doc_id", "text_hash", "owner", "kind", "nth"])
     placed = once.withColumn("end", end).withColumn("start", F.col("end") - F.char_length("value"))
+    # A header whose next line of this kind is an END line opens a block.
+    block = F.col("kind") == "keyblock"
+    following = {"next": F.lead("value").over(in_order), "next_end": F.lead("end").over(in_order)}
+    opens = F.col("value").startswith("-----BEGIN") & F.col("next").startswith("-----END") & ~F.col("after").contains("-----")
+    placed = placed.withColumns(following).where(~block | F.coalesce(opens, F.lit(False)))
+    placed = placed.withColumn("end", F.when(block, F.col("next_end")).otherwise(F.col("end")))
     # What is compared over the corpus: of an assignment, the assigned value; of a key block, its body, however
     # the lines are broken.
-    body = F.regexp_extract("value", WIDER["keyblock"][0], 1)
     secret = (
         F.when(F.col("kind") == "assign", F.regexp_extract("value", BASE["assign"][0], 2))
-        .when(F.col("kind") == "keyblock", F.regexp_replace(body, r"\s|\\[nr]", ""))
+        .when(block, F.regexp_replace("after", r"\s|\\[nr]", ""))
         .otherwise(F.col("value"))
     )
     least = F.create_map(*[F.lit(x) for kind, (_, n) in kinds.items() for x in (kind, n)])
@@ -133,7 +143,9 @@ def scan(
     # and a prefixed one if it lies in an opaque span that stays.
     in_doc = Window.partitionBy("doc_id", "text_hash", "owner").orderBy("start", "rank")
     before = in_doc.rowsBetween(Window.unboundedPreceding, -1)
-    after = in_doc.rowsBetween(1, Window.unboundedFollowing)
+    # The rows behind, as the rows before in the other order: a frame to the end would be made anew for every row.
+    behind = Window.partitionBy("doc_id", "text_hash", "owner").orderBy(F.desc("start"), F.desc("rank"))
+    after = behind.rowsBetween(Window.unboundedPreceding, -1)
 
     def apart(firm: Column) -> Column:
         reached, following = F.max(F.when(firm, F.col("end"))).over(before), F.min(F.when(firm, F.col("start"))).over(after)
@@ -144,7 +156,9 @@ def scan(
     for kind, over in (("opaque", "prefixed"), ("prefixed", "opaque")):
         reached = F.coalesce(F.max(F.when(F.col("kind") == over, F.col("end"))).over(before), F.lit(0))
         kept = kept.withColumn("stays", (F.col("kind") != kind) | (reached <= F.col("start"))).where("stays")
-    span = F.struct("start", "rank", "end", "kind", "base", "n_owners", "live", "copied")
+    # How far the spans up to each one reach, for readers that cut the text between them.
+    kept = kept.withColumn("reach", F.max("end").over(in_doc.rowsBetween(Window.unboundedPreceding, 0)))
+    span = F.struct("start", "rank", "end", "kind", "base", "n_owners", "live", "copied", "reach")
     return kept.groupBy("doc_id", "text_hash", "owner").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
@@ -163,28 +177,38 @@ def with_spans(
     return docs.join(spans, same, "left").drop("_doc", "_hash", "_owner")
 
 
+_CHUNK = 4096
+
+
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", doc_id: str = "doc_id", owner: str = "source") -> DataFrame:
     """The same rows and columns with every span in ``text`` replaced by ``mark``.
 
-    Overlapping spans become one. A text with n spans costs n * n small steps. Text without spans is left as it is.
+    Overlapping spans become one. Text without spans is left as it is. A text is cut into chunks once, and each piece
+    between spans is taken from its chunks, so the work grows with the text and the spans, not with their product.
     """
     columns = docs.columns
     joined = with_spans(docs, doc_id, text, owner)
+    # The explode of one element keeps the chunks a column: they are made once per row.
+    chunks = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+    chunks = F.when(F.col("_spans").isNotNull(), chunks).otherwise(F.array().cast("array<string>"))
+    joined = joined.select("*", F.explode(F.array(chunks)).alias("_chunks"))
     # The pieces between spans: each begins where all spans before it have ended.
-    reach = F.transform(
-        F.col("_spans"), lambda s, i: F.array_max(F.transform(F.slice("_spans", 1, i + 1), lambda p: p["end"]))
-    )
-    ends = F.concat(F.array(F.lit(0)).cast("array<bigint>"), reach.cast("array<bigint>"))
+    reach = F.transform(F.col("_spans"), lambda s: s["reach"].cast("bigint"))
+    ends = F.concat(F.array(F.lit(0)).cast("array<bigint>"), reach)
     starts = F.concat(
         F.transform(F.col("_spans"), lambda s: s["start"].cast("bigint")),
         F.array(F.char_length(F.col(text)).cast("bigint")),
     )
-    joined = joined.withColumn("_cuts", F.arrays_zip(ends.alias("e"), starts.alias("s")))
-    gaps = F.filter("_cuts", lambda c: (c["s"] >= c["e"]))
-    pieces = F.transform(
-        gaps, lambda c: F.substring(F.col(text), (c["e"] + 1).cast("int"), (c["s"] - c["e"]).cast("int"))
-    )
-    clean = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(F.array_join(pieces, mark))
+    cuts = F.filter(F.arrays_zip(ends.alias("e"), starts.alias("s")), lambda c: c["s"] >= c["e"])
+    joined = joined.select("*", F.explode(F.array(cuts)).alias("_cuts"))
+
+    def piece(cut: Column) -> Column:
+        first = F.floor(cut["e"] / _CHUNK)
+        last = F.floor(F.greatest(cut["s"] - 1, cut["e"]) / _CHUNK)
+        held = F.array_join(F.slice("_chunks", (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+        return F.substring(held, (cut["e"] - first * _CHUNK + 1).cast("int"), (cut["s"] - cut["e"]).cast("int"))
+
+    clean = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(F.array_join(F.transform("_cuts", piece), mark))
     return joined.select(*[clean.alias(c) if c == text else F.col(f"`{c}`") for c in columns])
 
 

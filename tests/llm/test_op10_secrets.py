@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from billmill.llm import op10_secrets as op10
 from billmill.llm.op10_secrets import op10_secrets, redact, scan
 
 
@@ -113,6 +114,93 @@ def test_key_blocks(spark):
     assert clean[5] == texts[5] and clean[8] == texts[8]
 
 
+def test_key_blocks_with_any_number_of_dashes(spark):
+    dashes = "-a" * 250 + "".join(f"L{i}x-" for i in range(20_000))
+    texts = {1: f"é a {pem(dashes)} b", 2: f"c {pem(dashes + 'zz', 'VERY LONG ' * 9)}", 3: f"{pem(dashes + '----- x')}", 4: pem("ABCDEFGHIJKL" * 2 + "abc") * 2}
+    df = spark.createDataFrame([(i, t, f"s{i}") for i, t in texts.items()], "doc_id long, text string, source string")
+    blocks = {(r.doc_id, s.start, s.end) for r in scan(df).collect() for s in r.spans if s.kind == "keyblock"}
+    half = len(texts[4]) // 2
+    assert blocks == {(1, 4, len(texts[1]) - 2), (2, 2, len(texts[2])), (4, 0, half), (4, half, 2 * half)}
+    clean = {r.doc_id: r.text for r in redact(df).collect()}
+    assert clean[1] == "é a [SECRET] b" and clean[2] == "c [SECRET]" and clean[4] == "[SECRET][SECRET]"
+
+
+def all_spans(rows):
+    """The spans of all kinds by definition, for rows (doc_id, text, owner) of distinct doc_ids."""
+    found = []
+    for doc, text, owner in rows:
+        text = text or ""
+        for rank, (kind, (pattern, least)) in enumerate((op10.BASE | op10.WIDER).items()):
+            matches = list(re.finditer(pattern, text, re.A))
+            if kind == "keyblock":
+                for a, b in zip(matches, matches[1:]):
+                    body = text[a.end() : b.start()]
+                    if a[0].startswith("-----BEGIN") and b[0].startswith("-----END") and "-----" not in body:
+                        found.append((doc, text, owner, a.start(), rank, kind, b.end(), re.sub(r"\s|\\[nr]", "", body)))
+            else:
+                found += [(doc, text, owner, m.start(), rank, kind, m.end(), m[2] if kind == "assign" else m[0]) for m in matches]
+        found = [f for f in found if len(f[7]) >= (op10.BASE | op10.WIDER)[f[5]][1]]
+    held = {}
+    for _, text, owner, *_, secret in found:
+        held.setdefault(secret, set()).add((text, owner))
+
+    def live(kind, secret):
+        texts, owners = {t for t, _ in held[secret]}, {o for _, o in held[secret]}
+        most = max(len({t for t, o in held[secret] if o == owner}) for owner in owners)
+        copied = len(texts) > op10.LIVE_DOCUMENTS or (len(owners) > 1 and not (len(owners) == 2 and most == len(texts)))
+        mixed = (re.search("[0-9]", secret) or kind == "keyblock") and re.search("[A-Za-z]", secret) and len(set(secret)) >= 10
+        return not copied and mixed and (kind != "opaque" or (re.search("[A-Z]", secret) and re.search("[a-z]", secret)))
+
+    out = {}
+    for doc, *_ in rows:
+        mine = [(start, rank, kind, end) for d, _, _, start, rank, kind, end, secret in found if d == doc and (kind in op10.BASE or live(kind, secret))]
+        firm = [m for m in mine if m[2] in op10.BASE or m[2] == "keyblock"]
+
+        def free(m, of):
+            return all(m[3] <= f[0] or f[3] <= m[0] for f in of)
+
+        loose = sorted(m for m in mine if m not in firm and free(m, firm))
+        # An opaque run goes if a prefixed value starts with it, a prefixed value if it lies in a run that stays.
+        opaque = [m for m in loose if m[2] == "opaque" and not any(p[2] == "prefixed" and p[0] <= m[0] < p[3] for p in loose)]
+        prefixed = [m for m in loose if m[2] == "prefixed" and not any(o[0] < m[0] < o[3] for o in opaque)]
+        out[doc] = ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in sorted(firm + opaque + prefixed))
+    return out
+
+
+def test_all_spans_by_definition(spark, folder):
+    import random
+
+    rng = random.Random(4)
+    letters = "abcdefABCDEF0123456789xyzXYZ"
+    values = ["".join(rng.choice(letters) for _ in range(rng.choice([10, 26, 40]))) for _ in range(12)]
+
+    def bit():
+        value = rng.choice(values)
+        kinds = [f"token={value}", f"AKIA{value.upper()}", f"{value.lower()[:24]}", f"ghp_{value}", f"sk-{value}/{value}", f"{value}/x-{value}", "plain é words"]
+        kinds += [pem(f"\n{value}\n{value}-x"), "-----BEGIN PRIVATE KEY-----", "0123456789abcdef01234567", f"team/ghp_{value}"]
+        return rng.choice(kinds)
+
+    rows = [(i, rng.choice([" ", "", ";", "\n"]).join(bit() for _ in range(rng.randrange(7))), rng.choice(["a", "b", "c"])) for i in range(300)]
+    rows += [(900 + i, rows[i][1], rng.choice(["a", "b"])) for i in range(40)]
+    path = folder(documents=spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    found = {r.doc_id: r.spans for r in op10_secrets(spark, path).collect()}
+    assert found == all_spans(rows)
+
+
+def test_redaction_is_linear_in_spans(spark):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"é {i:024x}" for i in range(n))
+        df = spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string")
+        start = time.perf_counter()
+        assert redact(df).first().text == " ".join(["é [SECRET]"] * n)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(100_000) < 60
+
+
 def test_dropped_spans_hide_nothing(spark):
     first, second = f"{GITHUB}6", f"{GITHUB}7"
     texts = {

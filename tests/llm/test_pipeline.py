@@ -43,6 +43,20 @@ def test_each_stage_decides(spark, small, tmp_path):
     assert encoded.where("doc_id = 8").first().ids == []
 
 
+def test_rows_of_one_doc_id_are_judged_by_their_texts(spark, small):
+    words = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcd"]
+    rows = [(1, words[0]), (1, words[1]), (1, None), (1, ""), (2, words[0] + " end"), (3, words[2]), (3, words[2]), (3, words[2] + " z"), (5, words[3])]
+    rows += [(None, words[3]), (None, words[3]), (0, words[3] + " more")]
+    df = spark.createDataFrame([(i, t, "en", "a", 9) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, df, small)
+    assert kept.columns == df.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    three = [text for doc, text in found if doc == 3]
+    assert len(three) == 1 and three[0] in (words[2], words[2] + " z")
+    want = [(0, words[3] + " more"), (1, words[1]), (1, ""), (1, None), (2, words[0] + " end"), (3, three[0]), (None, words[3]), (None, words[3])]
+    assert found == sorted(want, key=str)
+
+
 def test_empty_table(spark, small, tmp_path):
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)
     assert run_stages(spark, docs, small, tmp_path)[-1].count() == 0
@@ -52,4 +66,4 @@ def test_run_and_registry(spark, small):
     found = corpus_pipeline.run(spark, small)
     assert {"doc_id", "ids"} <= set(found.columns)
     assert 0 < found.count() < 200
-    assert {int(name.split("_")[0][2:]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name.split("_")[0][2:]) for name in QUERIES} == set(range(1, 14))
