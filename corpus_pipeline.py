@@ -3,13 +3,14 @@
 Every stage works on all that its predecessor kept, and its decisions take effect: toxic documents go, of
 each group of near duplicates the one with the smallest doc_id stays, contaminated documents go, secrets are
 replaced in the text, and what is left becomes token ids. Rows without doc_id belong to no group and pass;
-null and empty texts pass through all stages; an empty table gives an empty result. All stages but the last
-return the columns that they were given.
+rows that share a doc_id are judged by their own texts, and of equal ones one stays. Null and empty texts pass
+through all stages, very long ones are worked through whole; an empty table gives an empty result. All stages but
+the last return the columns that they were given.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billmill.llm import op1_jaccard_join as near
@@ -30,20 +31,43 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(toxicity.toxic_score(F.col("text"), toxicity.learn(texts, labels)) < 0.5)
 
 
+_OWN_IDS = 1 << 62  # ids from here on belong to rows whose doc_id several rows have
+
+
+def _row_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``: the doc_id, or for rows whose doc_id several rows have a number of doc_id and text.
+
+    Rows that share a doc_id are thus texts of their own, and only equal ones share a number.
+    """
+    doc_id = F.col("doc_id").cast("long")
+    counts = docs.select(doc_id.alias("_row")).where("_row is not null").groupBy("_row").count()
+    repeated = stored(counts.where("count > 1").select("_row", F.lit(True).alias("_several")), "repeated-ids")
+    docs = docs.withColumn("_row", doc_id)
+    if repeated.isEmpty():
+        return docs
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = F.lit(_OWN_IDS) + F.pmod(F.xxhash64("_row", text), F.lit(_OWN_IDS))
+    named = docs.join(repeated, "_row", "left").withColumn("_row", F.when(F.col("_several"), own).otherwise(F.col("_row")))
+    return stored(named.drop("_several"), "named-rows")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one that gives the group its id."""
+    """One row of each group of near duplicates: the one with the smallest doc_id (doc_ids of one row come first).
+
+    Rows that share a doc_id but not the text are judged like rows of different doc_ids; of rows equal in both one
+    stays. Rows without doc_id, text or words belong to no group and stay.
+    """
     ship(spark)
-    found = stored(near.jaccard_join(docs), "near-duplicates").where("doc_id is not null")
-    others = found.where("component_id <> doc_id").select("doc_id")
-    # Several rows of one doc_id are one document; only these few rows are gathered.
-    several = stored(
-        found.where("component_id = doc_id and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"),
-        "repeated-ids",
-    )
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc_nulls_last("text")))
-    first = docs.join(several, "doc_id", "left_semi").withColumn("_place", place).where("_place = 1")
+    rows = _row_ids(docs)
+    found = stored(near.jaccard_join(rows.select("_row", "text"), doc_id="_row"), "near-duplicates")
+    found = found.where("doc_id is not null").withColumnRenamed("doc_id", "_row")
+    others = found.where("component_id <> _row").select("_row")
+    # Equal rows of one doc_id; only these few are gathered, one of each task before the shuffle.
+    equal = found.where(f"component_id = _row and n_shingles > 0 and _row >= {_OWN_IDS}").groupBy("_row").count()
+    equal = stored(equal.where("count > 1").select("_row"), "equal-rows")
+    first = rows.join(equal, "_row", "left_semi").dropDuplicates(["_row"])
     # One join decides on all other rows, so their texts move once.
-    rest = docs.join(stored(others.unionByName(several).distinct(), "left-out-ids"), "doc_id", "left_anti")
+    rest = rows.join(stored(others.unionByName(equal).distinct(), "left-out-ids"), "_row", "left_anti")
     return rest.select(docs.columns).unionByName(first.select(docs.columns))
 
 
