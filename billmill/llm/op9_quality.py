@@ -2,9 +2,11 @@
 
 Word windows of several lengths are hashed for a whole slice of texts at once. A document is rejected if
 too many of its characters lie inside repeated windows or repeated lines, or if it has a symbol for every
-tenth word. Each row is judged on its own:
+tenth word. Longer windows repeat less by chance, so their limits are lower; some characters are free, so that one
+sentence said twice passes. Each row is judged on its own:
 no shuffle, equal rows get equal results, other columns are ignored. A null text has no words; it and
-every text of fewer than 20 words fail the base rule.
+every text of fewer than 20 words fail the base rule. An empty table gives an empty result; a very long text is a
+slice of its own and judged whole.
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from pyspark.sql import functions as F
 
 from billmill.llm.words import WHITE, Words, by_text, field, mix, slices, text_bytes, windows
 
-# Largest share of a text's word characters inside windows of n words that occur twice or more. Short windows
-# repeat in any long text by chance and are left out; one repeated sentence in a short text must pass.
-REPEATED_WINDOWS = {4: 0.35, 5: 0.32, 6: 0.31, 7: 0.30, 8: 0.30, 9: 0.30, 10: 0.30}
+# Largest share of a text's word characters inside windows of n words that occur twice or more, beyond the free ones.
+REPEATED_WINDOWS = {4: 0.20, 5: 0.18, 6: 0.17, 7: 0.15, 8: 0.13, 9: 0.12, 10: 0.10}
+FREE_CHARS = 100
 # Largest share of characters in lines that repeat an earlier line, and of symbols per word.
 REPEATED_LINE_CHARS = 0.20
 SYMBOLS_PER_WORD = 0.10
@@ -85,9 +87,9 @@ def measure(batches: Iterator[pa.RecordBatch], limits: Mapping[int, float]) -> I
         worst = np.zeros(len(n_words))
         over = np.zeros(len(n_words), bool)
         for size, limit in limits.items():
-            share = by_text(words.firsts, chars * inside[size]) / np.maximum(word_chars, 1)
-            over |= share > limit
-            worst = np.maximum(worst, share)
+            repeated = by_text(words.firsts, chars * inside[size])
+            over |= repeated > limit * word_chars + FREE_CHARS
+            worst = np.maximum(worst, repeated / np.maximum(word_chars, 1))
         heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         text_chars = heads[at[1:]] - heads[at[:-1]]
         over |= lines[:, 2] > REPEATED_LINE_CHARS * np.maximum(text_chars, 1)
@@ -135,7 +137,7 @@ lines AS (SELECT r, sum(c) AS n_lines, sum(c - 1) AS again, sum((c - 1) * length
 total AS (SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, greatest(length(t), 1) AS chars FROM w),
 share AS (SELECT r, max(inside.chars / greatest(word_chars, 1)) AS worst,
-            bool_or(inside.chars / greatest(word_chars, 1) > most) AS over,
+            bool_or(inside.chars > most::DOUBLE * word_chars + {FREE_CHARS}) AS over,
             max(words) FILTER (WHERE n = {BASE_WINDOW}) AS repeat_words
           FROM inside JOIN l USING (n) JOIN total USING (r) GROUP BY r),
 judged AS (SELECT total.*, coalesce(again, 0) AS again, coalesce(n_lines, 0) AS n_lines, coalesce(lines.chars, 0) AS again_chars,

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import re
 
-from billmill.llm.op9_quality import op9_quality_rules, quality
+from billmill.llm.op9_quality import REPEATED_WINDOWS, op9_quality_rules, quality
 
 
 def brute(text):
@@ -44,3 +44,32 @@ def test_verdict(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     kept = {r.doc_id: (r.base_failed, r.kept) for r in quality(df).collect()}
     assert kept == {i: (i in (3, 4), i in (1, 5)) for i in range(1, 7)}
+
+
+def test_every_window_length_can_decide(spark):
+    """A phrase of n words said a few times in a long text: longer phrases are let through less often."""
+    filler = iter(range(10**6))
+
+    def text(n, times, words):
+        phrase = " ".join(f"p{i:05d}" for i in range(n))
+        rest = [f"w{next(filler):06d}" for _ in range(words - n * times)]
+        step = len(rest) // times
+        return " ".join(" ".join(rest[i * step : (i + 1) * step]) + " " + phrase for i in range(times))
+
+    rows = [(n, text(n, 40, int(40 * n / (limit - 0.02)))) for n, limit in REPEATED_WINDOWS.items() if n >= 8]
+    rows += [(100 + n, text(n, 40, int(40 * n / (limit - 0.02)) + 4000)) for n, limit in REPEATED_WINDOWS.items()]
+    rows += [(1000, text(12, 2, 100))]  # one sentence twice
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id: r.kept for r in quality(df).collect()}
+    assert kept[1000] and all(kept[100 + n] for n in REPEATED_WINDOWS)
+    for n in (8, 9, 10):
+        others = {m: 1.0 for m in REPEATED_WINDOWS if m != n} | {n: REPEATED_WINDOWS[n] - 0.04}
+        decided = {r.doc_id: r.kept for r in quality(df, limits=others).collect()}
+        assert not decided[n]
+
+
+def test_a_text_longer_than_a_slice(spark):
+    long = " ".join(f"w{i}" for i in range(300_000))
+    df = spark.createDataFrame([(1, long), (2, long + " " + long), (3, None)], "doc_id long, text string")
+    found = {r.doc_id: (r.n_words, r.kept, r.base_failed) for r in quality(df).collect()}
+    assert found == {1: (300_000, True, False), 2: (600_000, False, True), 3: (0, False, True)}
