@@ -1,10 +1,11 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words become the symbols insult, threat, intent, target, negation and report; all others pass unread. Five
-small transducers read the symbols of a clause side by side: negation holds for the next few words, intent
-likewise, target and report for the clause, quotation marks while they are open. A matched insult or threat
-leaves the composition with the weight that the joint state gives it. A document is scored by its matched
-clauses (their number, sum and maximum), not by single words, through a logistic model.
+Words become the symbols insult, threat, intent, target, negation and report, in four languages; all others are gaps.
+Four small transducers read the symbols of a clause: negation and intent hold for the next few words, target and
+report for the rest of the clause. ``compose`` makes one table of them (next joint state and factor for every state
+and letter), in which a letter also says whether the word stands in quotation marks. A matched insult or threat leaves
+the composition with its weight times the factor of the joint state. A document is scored by its matched clauses
+(their number, sum and maximum), not by single words, through a logistic model.
 
 Weights come from labelled rows that are not held out: a bounded sample of ``sample`` of them. A word, or a
 stem (its first letters), is learned as an insult if it stands in ``MIN_CONTEXTS`` different surroundings or
@@ -13,8 +14,9 @@ its log odds reaches ``MIN_LOG_ODDS``. The support is the same for every size of
 language are learned as well. Labels of held-out rows are never read, nor are lang, source or doc_id.
 
 A null or empty text matches nothing and gets the score of a text without clauses. Without usable labels
-the prior weights serve. A row without doc_id counts as held out. Equal texts get equal scores; other
-columns are ignored.
+the prior weights serve. A row without doc_id counts as held out. Rows that share a doc_id enter the sample with one
+of their texts. Equal texts get equal scores; other columns are ignored. An empty table gives an empty result, and a
+very long text is a slice of its own, read whole.
 """
 
 from __future__ import annotations
@@ -27,19 +29,33 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from billmill.llm.steps import stored
 from billmill.llm.words import LOWER, Words, field, mix, slices, span_hashes, text_bytes
 
 INSULT, THREAT, INTENT, TARGET, NEGATION, REPORT = 1, 2, 3, 4, 5, 6
 
-# Prior symbols; insults in other words are learned.
+# Prior symbols; insults in other words are learned. Every text is read with the words of all languages, so words that
+# are common in another sense in one of them (the German article "die") are left out.
 LEXICON = {
     INSULT: "idiot idiots moron morons stupid dumb fool fools loser losers scum trash garbage pathetic worthless "
     "disgusting clown clowns filth vermin imbecile jerk coward cowards crap freak ugly useless",
-    THREAT: "kill hurt destroy burn die beat shoot stab crush",
-    INTENT: "will gonna going shall must should deserve deserves hope",
-    TARGET: "you your yours u ur he she they them him her his their these those people everyone",
-    NEGATION: "not no never isn aren wasn weren don doesn didn won can't cannot ain nobody without",
-    REPORT: "said says say wrote writes called calls quoted quote claimed claims reported told tells",
+    THREAT: "kill hurt destroy burn beat shoot stab crush",
+    INTENT: "will gonna going shall must should deserve deserves hope "
+    "werde wirst wird werden sollst soll solltest muss musst "
+    "vais vas va allons allez dois devrais mérites méritez "
+    "voy vas va vamos debes debería mereces merece",
+    TARGET: "you your yours u ur he she they them him her his their these those people everyone "
+    "du dich dir dein deine ihr euch euer eure "
+    "tu toi te ton ta tes vous votre vos "
+    "tú ti usted ustedes eres vosotros",
+    NEGATION: "not no never isn aren wasn weren don doesn didn won can't cannot ain nobody without "
+    "nicht kein keine keinen keiner keinem nie niemals niemand ohne "
+    "ne n pas jamais aucun aucune sans personne "
+    "nunca jamás ni sin nadie ningún ninguna tampoco",
+    REPORT: "said says say wrote writes called calls quoted quote claimed claims reported told tells "
+    "sagte sagt sagen schrieb schreibt nannte nennt behauptet behauptete meinte erzählte "
+    "dit disait écrit écrivait appelle appelait prétend raconte "
+    "dijo dice decía escribió escribe llamó llama contó afirma",
 }
 PRIOR_WEIGHT = {INSULT: 2.0, THREAT: 1.5}
 HOLDS = 4  # words for which a negation or an intent holds
@@ -116,29 +132,101 @@ class Grammar:
         return symbol, weight
 
 
+# --- The transducers -------------------------------------------------------------------------------
+#
+# Letters: 0 is a gap (a word without symbol), 1 to 6 the symbols; the same plus QUOTED inside quotation marks.
+
+N_LETTERS, QUOTED = 14, 7
+
+
+@dataclass
+class Transducer:
+    """``next[state, letter]``; the state is a number from 0, the state at the start of a clause."""
+
+    next: np.ndarray
+
+    @property
+    def states(self) -> int:
+        return len(self.next)
+
+    @staticmethod
+    def holding(symbol: int, words: int) -> Transducer:
+        """State k: the symbol holds for k more words."""
+        left = np.arange(words + 1)
+        table = np.repeat(np.maximum(left - 1, 0)[:, None], N_LETTERS, axis=1)
+        table[:, [symbol, symbol + QUOTED]] = words
+        return Transducer(table)
+
+    @staticmethod
+    def seen(symbol: int) -> Transducer:
+        """State 1 once the symbol has been read."""
+        table = np.repeat(np.arange(2)[:, None], N_LETTERS, axis=1)
+        table[:, [symbol, symbol + QUOTED]] = 1
+        return Transducer(table)
+
+
+MACHINES = {
+    "negation": Transducer.holding(NEGATION, HOLDS),
+    "intent": Transducer.holding(INTENT, HOLDS),
+    "target": Transducer.seen(TARGET),
+    "report": Transducer.seen(REPORT),
+}
+
+
+def factor(symbol: int, quoted: bool, negation: int, intent: int, target: int, report: int) -> float:
+    """What the joint state, before the word is read, makes of the weight of an insult or threat."""
+    if symbol not in (INSULT, THREAT):
+        return 0.0
+    out = UNMEANT if symbol == THREAT and not intent and not target else 1.0
+    if negation:
+        out *= NEGATED
+    if report or quoted:
+        out *= REPORTED
+    return out
+
+
+@dataclass
+class Composition:
+    """All machines as one: the next joint state and the factor for every state and letter, what a clause's end in a
+    state adds, and the state after a number of gaps (all machines have settled after ``HOLDS`` of them)."""
+
+    next: np.ndarray
+    factor: np.ndarray
+    final: np.ndarray
+    gaps: np.ndarray
+
+
+def compose(machines: dict[str, Transducer]) -> Composition:
+    shape = [m.states for m in machines.values()]
+    joint = np.stack(np.unravel_index(np.arange(int(np.prod(shape))), shape), axis=1)
+    following = np.zeros((len(joint), N_LETTERS), np.int64)
+    factors = np.zeros((len(joint), N_LETTERS))
+    for letter in range(N_LETTERS):
+        parts = [m.next[joint[:, i], letter] for i, m in enumerate(machines.values())]
+        following[:, letter] = np.ravel_multi_index(parts, shape)
+        for state, each in enumerate(joint.tolist()):
+            factors[state, letter] = factor(letter % QUOTED, letter >= QUOTED, **dict(zip(machines, each)))
+    gaps = [np.arange(len(joint))]
+    for _ in range(HOLDS):
+        gaps.append(following[gaps[-1], 0])
+    final = np.where(joint[:, list(machines).index("target")] > 0, AIMED, 1.0)
+    return Composition(following, factors, final, np.array(gaps))
+
+
+COMPOSED = compose(MACHINES)
+_NEXT, _FACTOR, _FINAL, _GAPS = (t.tolist() for t in (COMPOSED.next, COMPOSED.factor, COMPOSED.final, COMPOSED.gaps))
+
+
 def clause_weight(symbols: list[int], weights: list[float], places: list[int], quoted: list[bool]) -> float:
-    """The weight with which the composed transducers leave one clause."""
-    negated = intended = -1
-    aimed = reported = False
-    total = 0.0
+    """The weight with which the composed transducers leave one clause. ``places`` are word numbers: words between
+    them are gaps."""
+    state, before, total = 0, places[0] - 1 if places else 0, 0.0
     for symbol, weight, place, in_quotes in zip(symbols, weights, places, quoted):
-        if symbol == NEGATION:
-            negated = place + HOLDS
-        elif symbol == INTENT:
-            intended = place + HOLDS
-        elif symbol == TARGET:
-            aimed = True
-        elif symbol == REPORT:
-            reported = True
-        else:
-            if symbol == THREAT and not (place <= intended or aimed):
-                weight *= UNMEANT
-            if place <= negated:
-                weight *= NEGATED
-            if reported or in_quotes:
-                weight *= REPORTED
-            total += weight
-    return total * AIMED if aimed else total
+        state = _GAPS[min(place - before - 1, HOLDS)][state]
+        letter = symbol + QUOTED if in_quotes else symbol
+        total += weight * _FACTOR[state][letter]
+        state, before = _NEXT[state][letter], place
+    return total * _FINAL[state]
 
 
 def clause_figures(batch: pa.RecordBatch, grammar: Grammar) -> np.ndarray:
@@ -206,8 +294,10 @@ def labelled_sample(texts: DataFrame, labels: DataFrame, size: int) -> DataFrame
     usable = usable.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
-    # `size` short rows: small enough for every executor
-    return texts.join(F.broadcast(chosen), "doc_id")
+    # `size` short rows: small enough for every executor. One text per doc_id, so the sample has no more rows; the
+    # smallest one is found within the tasks before anything moves.
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return stored(found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")), "labelled-sample")
 
 
 def least_log_odds(t: Column, n: Column, toxic: int, others: int) -> Column:

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import itertools
+import random
 import zlib
 
 import pyarrow as pa
 
+from billmill.llm import op6_toxicity as op6
 from billmill.llm.op6_toxicity import Grammar, clause_figures, op6_toxicity, score_toxicity
 
 
@@ -23,6 +25,67 @@ def test_clauses_not_words():
     assert weight(None) == weight("") == weight("a quiet day") == 0
 
 
+def test_negation_and_report_in_four_languages():
+    for direct, no, said in (
+        ("You are an idiot.", "You are not an idiot.", "She said you are an idiot."),
+        ("Du bist ein idiot.", "Du bist kein idiot.", "Er sagte, du bist ein idiot."),
+        ("Tu es un idiot.", "Tu n'es pas un idiot.", "Elle a dit que tu es un idiot."),
+        ("Tú eres un idiot.", "Tú no eres un idiot.", "Ella dijo que tú eres un idiot."),
+    ):
+        assert weight(direct) > weight(said) > 0 == weight(no), direct
+        assert weight(direct) == weight("You are an idiot.") and weight(said) == weight("She said you are an idiot.")
+    assert weight("Die Leute kaufen die Karten.") == 0
+
+
+def one_by_one(tape):
+    """The weight of a clause, each machine read by itself; ``tape`` holds (symbol or 0, weight, quoted) per word."""
+    states = {name: [0] for name in op6.MACHINES}
+    for name, machine in op6.MACHINES.items():
+        for symbol, _, quoted in tape:
+            states[name].append(int(machine.next[states[name][-1], symbol + op6.QUOTED * quoted]))
+    total = sum(w * op6.factor(s, q, **{n: x[i] for n, x in states.items()}) for i, (s, w, q) in enumerate(tape))
+    return total * (op6.AIMED if states["target"][-1] else 1.0)
+
+
+def by_definition(tape):
+    total = 0.0
+    for i, (symbol, weight, quoted) in enumerate(tape):
+        if symbol not in (op6.INSULT, op6.THREAT):
+            continue
+        near = [s for s, _, _ in tape[max(0, i - op6.HOLDS) : i]]
+        before = [s for s, _, _ in tape[:i]]
+        if symbol == op6.THREAT and op6.INTENT not in near and op6.TARGET not in before:
+            weight *= op6.UNMEANT
+        if op6.NEGATION in near:
+            weight *= op6.NEGATED
+        if op6.REPORT in before or quoted:
+            weight *= op6.REPORTED
+        total += weight
+    return total * (op6.AIMED if any(s == op6.TARGET for s, _, _ in tape) else 1.0)
+
+
+def test_the_composition_reads_as_its_parts_do():
+    rng = random.Random(2)
+    for _ in range(3000):
+        tape = [(rng.choice([0, 0, 0, 1, 2, 3, 4, 5, 6]), float(rng.randint(1, 5)), rng.random() < 0.2) for _ in range(rng.randrange(14))]
+        read = [(s, w, place, q) for place, (s, w, q) in enumerate(tape) if s]
+        found = op6.clause_weight(*(list(x) for x in zip(*read))) if read else 0.0
+        assert abs(found - one_by_one(tape)) < 1e-9 and abs(found - by_definition(tape)) < 1e-9
+
+
+def test_the_sample_has_one_row_per_doc_id(spark):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][:3]
+    docs = spark.createDataFrame([(ids[0], f"text {i}") for i in range(500)] + [(ids[1], None), (ids[2], "x"), (ids[2], "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, toxic int")
+    assert sorted((r.doc_id, r.text) for r in op6.labelled_sample(docs, labels, 12_000).collect() if r.text) == [(ids[0], "text 0"), (ids[2], "x")]
+    assert op6.labelled_sample(docs, labels, 2).count() == 2
+
+
+def test_long_texts_are_read_whole(spark):
+    long = "quiet words here " * 200_000 + "\nYou are an idiot."
+    assert weight(long) == weight("You are an idiot.")
+
+
 def test_held_out_labels(spark):
     found = op6_toxicity(spark, "/root/testdata/sf0.01").collect()
     label = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
