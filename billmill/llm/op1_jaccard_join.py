@@ -14,7 +14,8 @@ Links found in 2 and 4 connect the same documents as all links do: a pair is lef
 sides are already connected or a bound rules it out. No bucket, group or partner list is capped.
 
 Rows with one doc_id count as one document: they are reached together. Rows without doc_id, without text
-or without words link with nothing; they are their own component. Other columns are ignored.
+or without words link with nothing; they are their own component. Other columns are ignored. An empty table gives an
+empty result; a very long text is a slice of its own, and its set is held by one task at a time.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from billmill.llm.words import LOWER, WHITE, Words, field, mix, slices, text_byt
 SHINGLE, PERCENT = 5, 80
 BUCKETS = 12  # minimum hashes per member
 CELLS = 1 << 16  # counters of the frequency table, whatever the size of the corpus
+HOT_SHARE = 1000
 BLOCK = 256  # partners compared with one member in one step
 
 
@@ -184,16 +186,27 @@ def bucket_pairs(reps: DataFrame, percent: int) -> DataFrame:
     Central is who shares the most bucket entries with others: of near copies, the one that the others were
     made from or one close to it. A copy may miss the threshold to another copy and still reach that one.
     """
+    key = ["nth", "bucket"]
     inside = reps.select("rep", "n", F.posexplode("buckets").alias("nth", "bucket"))
-    crowded = inside.groupBy("nth", "bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    inside = stored(inside.join(crowded, ["nth", "bucket"]), "buckets")
+    crowded = inside.groupBy(key).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    crowded = stored(crowded, "crowded-buckets")
+    # A bucket of at least one in HOT_SHARE of all members: there are at most BUCKETS * HOT_SHARE of these, so they
+    # are broadcast, and their members never meet in one task.
+    is_hot = F.col("members") * HOT_SHARE >= F.lit(reps.count())
+    hot, other = crowded.where(is_hot), crowded.where(~is_hot)
+    within_hot = inside.join(F.broadcast(hot), key)
+    elsewhere = inside.join(F.broadcast(hot.select(key)), key, "left_anti").join(other, key)
+    inside = stored(within_hot.unionByName(elsewhere), "buckets")
     central = inside.groupBy("rep").agg(F.sum("members").alias("shared"))
     first = (
         inside.join(central, "rep")
-        .groupBy("nth", "bucket")
-        .agg(F.max(F.struct("shared", (-F.col("rep")).alias("rep"), "n")).alias("first"))
+        .groupBy(key)
+        .agg(F.max(F.struct("shared", (-F.col("rep")).alias("rep"), "n")).alias("first"), F.max("members").alias("members"))
     )
-    pairs = inside.join(first, ["nth", "bucket"]).where("rep <> -first.rep")
+    first = stored(first, "central-members")
+    columns = [*key, "first"]
+    met_hot = inside.where(is_hot).join(F.broadcast(first.where(is_hot).select(columns)), key)
+    pairs = met_hot.unionByName(inside.where(~is_hot).join(first.where(~is_hot).select(columns), key)).where("rep <> -first.rep")
     return pairs.where(_fits(F.col("n"), F.col("first.n"), percent)).select(
         (-F.col("first.rep")).alias("a"), F.col("rep").alias("b")
     )
@@ -225,14 +238,15 @@ def group_pairs(marked: DataFrame, reps: DataFrame, groups: DataFrame, percent:
     )
     matrix = stored(matrix.where("low < high").select("token", "grp", "strong"), "token-groups")
     sizes = known.groupBy("grp").agg(F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.max("alone").alias("alone"))
-    solo = sizes.where("alone").select(F.col("grp").alias("rep"), "grp", F.col("n_low").alias("n"))
+    solo = sizes.where("alone and n_low = n_high").select(F.col("grp").alias("rep"), "grp", F.col("n_low").alias("n"))
+    # A lone doc_id with sets of several sizes asks with each of them.
+    several = sizes.where("alone and n_low < n_high").select("grp", F.lit(True).alias("several"))
+    asking = posts.where("not alone").unionByName(posts.where("alone").join(several, "grp", "left_semi"))
     queries = stored(
         matrix.join(solo, "grp")
         .select("token", "grp", "rep", "n", "strong")
         .unionByName(
-            posts.where("not alone")
-            .join(matrix.select("token").distinct(), "token")
-            .select("token", "grp", "rep", "n", "strong")
+            asking.join(matrix.select("token").distinct(), "token").select("token", "grp", "rep", "n", "strong")
         ),
         "queries",
     )

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+from billmill.llm import op1_jaccard_join as op1
 from billmill.llm.components import connected_components
 from billmill.llm.op1_jaccard_join import jaccard_join
 
@@ -72,3 +73,22 @@ def test_components_of_a_chain_and_a_star(spark):
     found = connected_components(spark.createDataFrame(links, "a long, b long"), "a", "b")
     expected = {i: 1 for i in [*range(1, 41), 60]} | {100 + i: 100 for i in range(50)}
     assert {r.node: r.component for r in found.collect()} == expected
+
+
+def test_sets_of_one_doc_id_ask_with_their_own_size(spark):
+    """doc 1 has a small set and a large one; the large one is similar to doc 2 only as a whole."""
+    words = [f"w{i}" for i in range(104)]
+    rows = [(1, "a b c d e f g"), (1, " ".join(words)), (2, " ".join([*words[:90], "x"])), (3, "a b c d e f g h i j k l"), (4, " ".join(words[:60]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join(df).collect()), key=str)
+    assert found == brute(rows)
+
+
+def test_one_bucket_with_a_third_of_all_members(spark, monkeypatch):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*base[:59], f"v{i}"])) for i in range(60)] + [(100 + i, f"quite another text number {i} with words {i * 7}") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join(df).collect()), key=str)
+    assert found == brute(rows)
+    monkeypatch.setattr(op1, "HOT_SHARE", 2)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join(df).collect()), key=str) == found
