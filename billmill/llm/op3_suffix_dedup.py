@@ -15,7 +15,8 @@ the same position, which is the property the cover is there for, with 3 % of all
 Earlier means smaller doc_id, then smaller start. Rows that share a doc_id come in the order of a 15-bit
 hash of their text; equal rows share one result. A row without doc_id has no place in the order: nothing is
 removed from it or because of it. Null and empty texts, and texts shorter than a window, stay as they are.
-Other columns are ignored. Matches never cross documents. Copies within a slice of texts are found on the
+Other columns are ignored. Matches never cross documents. An empty table gives an empty result; a very long text is
+cut into overlapping pieces, so that no window is missed and no task holds its hashes at once. Copies within a slice of texts are found on the
 spot, so a name that is everywhere is one row per slice; the rest of its group is sorted and streamed.
 """
 
@@ -34,21 +35,22 @@ from billmill.llm.words import SLICE_BYTES, _BYTE_VALUES, field, mix, powers, sl
 LENGTH = 100
 GRAM = 32
 TIES = 1 << 15
-_BASE = 0xD6E8FEB86659FD93
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_BASES = (0xD6E8FEB86659FD93, 0xA24BAED4963EE407)  # of two independent hashes
 
 
 class Rolling:
     """Hashes of any stretch of ``data`` in constant time."""
 
-    _up, _down = powers(_BASE, 1 << 12), powers(_INVERSE, 1 << 12)
+    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def __init__(self, data: np.ndarray) -> None:
-        n = len(data)
-        if len(Rolling._up) <= n:
-            Rolling._up, Rolling._down = powers(_BASE, n + 1), powers(_INVERSE, n + 1)
+    def __init__(self, data: np.ndarray, which: int = 0) -> None:
+        n, base = len(data), _BASES[which]
+        if which not in Rolling._powers or len(Rolling._powers[which][0]) <= n:
+            size = max(n + 1, 1 << 12)
+            Rolling._powers[which] = powers(base, size), powers(pow(base, -1, 1 << 64), size)
+        up, self._down = Rolling._powers[which]
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[data] * self._up[:n], out=self.sums[1:])
+        np.cumsum(_BYTE_VALUES[data] * up[:n], out=self.sums[1:])
 
     def __call__(self, starts: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
         return mix((self.sums[starts + lengths] - self.sums[starts]) * self._down[starts])
@@ -157,7 +159,10 @@ def sampled(texts: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def named_windows(texts: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """The windows of the asked positions, each under its own name."""
+    """The windows of the asked positions, each under its own name of 95 bits (``name`` and ``more``).
+
+    A name of 64 bits would be shared by different windows of a corpus of 100 TB now and then.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -177,16 +182,25 @@ def named_windows(texts: DataFrame, asked: DataFrame, length: int) -> DataFrame:
                 low = int((at[owner[j]] + start[j]).min())
                 high = int((at[owner[j]] + start[j]).max()) + length
                 name = Rolling(data[low:high])(at[owner[j]] + start[j] - low, length)
+                more = Rolling(data[low:high], 1)(at[owner[j]] + start[j] - low, length) >> np.uint64(33)
                 place = _spot(tie[owner[j]], start[j], 0)
                 copy, own = _copies_here(name, doc[owner[j]], place)
                 name = np.where(copy, own, name)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(name.view(np.int64)), pa.array(doc[owner[j]]), pa.array(place), pa.array(copy)],
-                    ["name", "doc", "spot", "here"],
+                    [
+                        pa.array(name.view(np.int64)),
+                        pa.array(more.astype(np.int32)),
+                        pa.array(doc[owner[j]]),
+                        pa.array(place),
+                        pa.array(copy),
+                    ],
+                    ["name", "more", "doc", "spot", "here"],
                 )
 
     joined = texts.join(asked, (texts["doc_id"] == asked["doc"]) & (texts["tie"] == asked["of"]))
-    return joined.select("doc_id", "tie", "text", "spots").mapInArrow(run, "name long, doc long, spot long, here boolean")
+    return joined.select("doc_id", "tie", "text", "spots").mapInArrow(
+        run, "name long, more int, doc long, spot long, here boolean"
+    )
 
 
 def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -205,7 +219,7 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -
         met.where("not copy").groupBy("doc", tie.alias("of")).agg(F.array_sort(F.collect_set("spot")).alias("spots")),
         "asked-suffixes",
     )
-    of_name = Window.partitionBy("name").orderBy("doc", "spot")
+    of_name = Window.partitionBy("name", "more").orderBy("doc", "spot")
     windows = named_windows(texts, asked, length)
     single = windows.withColumn("copy", F.col("here") | _after_another(of_name)).where("copy")
     found = met.where("copy").select("doc", "spot").unionByName(stored(single.select("doc", "spot"), "repeated-windows"))
