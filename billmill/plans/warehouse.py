@@ -27,6 +27,7 @@ from billmill.session import Sizing, sized, tune
 from billmill.sources.bill_files import FILE_ORDER, OrderedExport, first_text, land_raw, read_bills_csv
 from billmill.sources.files import Files
 from billmill.sources.tables import Version, create_namespace, publish_together, settle, write_version
+from billmill.workspace import recorded_steps, remove_steps
 
 
 @dataclass
@@ -241,15 +242,19 @@ def run(spark: SparkSession, load: Load) -> dict[str, DataFrame]:
     tune(spark)
     create_namespace(spark, load.namespace, f"{load.folder}/namespace")
     settle(spark, load.folder)
-    store = _Store(load.folder)
-    staging, export = load_staging(spark, load, store)
-    try:
-        tables = load_tables(staging, load, store)
-        _publish(spark, store, export)
-    except BaseException:
-        if export is not None:
-            export.discard()
-        raise
+    store, export = _Store(load.folder), None
+    with recorded_steps() as steps:
+        try:
+            staging, export = load_staging(spark, load, store)
+            tables = load_tables(staging, load, store)
+            _publish(spark, store, export)
+        except BaseException:
+            if export is not None:
+                export.discard()
+            raise
+        finally:
+            # All tables are versions of their own; no step is read any more.
+            remove_steps(spark, steps)
     return tables
 
 

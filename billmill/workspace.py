@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from billmill.sources.files import Files
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
@@ -28,9 +32,38 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_recordings: list[list[str]] = []
+
+
+@contextmanager
+def recorded_steps() -> Iterator[list[str]]:
+    """The folders of all steps that are stored meanwhile."""
+    folders: list[str] = []
+    _recordings.append(folders)
+    try:
+        yield folders
+    finally:
+        _recordings[:] = [other for other in _recordings if other is not folders]
+
+
+def remove_steps(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete the folders of steps that nothing reads any more."""
+    files = Files(spark)
+    for folder in folders:
+        files.delete(folder)
+
+
+def unread_steps(df: DataFrame, folders: Iterable[str]) -> list[str]:
+    """Those folders that ``df`` does not read. For plans without subqueries: their files are not listed."""
+    read = {place.rstrip("/").rsplit("/", 2)[-2] for place in df.inputFiles()}
+    return [folder for folder in folders if folder.rstrip("/").rsplit("/", 1)[-1] not in read]
+
+
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Like ``stored``, and the folder that holds the rows."""
     folder = new_folder(df.sparkSession, name)
+    for recording in _recordings:
+        recording.append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder), folder
 

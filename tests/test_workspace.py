@@ -60,3 +60,32 @@ def test_small_inputs_and_other_shuffles_keep_the_settings(spark):
     with sized(spark, Sizing(50 << 30)):
         assert spark.conf.get(name) == "50"
     assert spark.conf.get(name) == own
+
+
+def test_steps_are_removed_when_nothing_reads_them(spark):
+    from pathlib import Path
+
+    from billmill.workspace import recorded_steps, remove_steps, stored, unread_steps
+
+    with recorded_steps() as steps:
+        first = stored(spark.range(5), "step")
+        second = stored(first.where("id > 1"), "step")
+    stored(spark.range(1), "not-recorded")
+    assert len(steps) == 2 and all(Path(s).exists() for s in steps)
+    assert unread_steps(second, steps) == steps[:1]
+    remove_steps(spark, unread_steps(second, steps))
+    assert [Path(s).exists() for s in steps] == [False, True] and second.count() == 3
+
+
+def test_a_load_leaves_no_steps(spark, tmp_path):
+    from pathlib import Path
+
+    from billmill.plans.warehouse import Load, run
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("Service End Date,Borough,Consumption (KWH),Current Charges\n01/26/2010,Q,10,5\n")
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(shared.iterdir()) if shared.exists() else set()
+    tables = run(spark, Load(str(tmp_path / "in"), str(tmp_path / "tables"), "steps_test"))
+    assert tables["electric_staging"].count() == 1
+    assert set(shared.iterdir()) == before
