@@ -9,6 +9,7 @@ from collections.abc import Callable
 from functools import cache, wraps
 
 import billmill
+from billmill.workspace import recorded_steps, remove_steps, unread_steps
 
 
 @cache
@@ -35,11 +36,14 @@ def ship(spark) -> None:
 
 
 def shipped(function: Callable) -> Callable:
-    """``function(spark, ...)`` with the package sent first."""
+    """``function(spark, ...)`` with the package sent first; of its steps, those that the result reads stay."""
 
     @wraps(function)
     def run(spark, *rest):
         ship(spark)
-        return function(spark, *rest)
+        with recorded_steps() as steps:
+            result = function(spark, *rest)
+        remove_steps(spark, unread_steps(result, steps))
+        return result
 
     return run
