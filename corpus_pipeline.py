@@ -20,7 +20,7 @@ from billmill.llm import op7_bpe as bpe
 from billmill.llm import op10_secrets as secrets
 from billmill.llm.ship import ship
 from billmill.llm.steps import stored
-from billmill.workspace import new_folder
+from billmill.workspace import new_folder, recorded_steps, remove_steps
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -113,9 +113,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages. What a stage has written down on its way goes as soon as its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         folder = new_folder(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(folder)
+        with recorded_steps() as steps:
+            stage(spark, docs, sf_dir).write.parquet(folder)
+        remove_steps(spark, steps)
         docs = spark.read.parquet(folder)
     return STAGES[-1][1](spark, docs, sf_dir)
