@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from billmill.functions.dates import date_key
 from billmill.functions.text import col
 from billmill.functions.totals import merged_total, partial_totals, total
+from billmill.operators.clean import present
 from billmill.operators.joins import join_bill_date, join_members
 from billmill.operators.keys import number_rows
 from billmill.schema import (
@@ -18,6 +19,7 @@ from billmill.schema import (
     DIM_DEVELOPMENT,
     DIM_METER,
     DIM_VENDOR,
+    MEASURES,
     STAGED_KWH,
     STD_DATE,
 )
@@ -39,6 +41,18 @@ def build_dim_date(staging: DataFrame) -> DataFrame:
     )
 
 
+def dates_of(clean: DataFrame) -> DataFrame:
+    """The date dimension from clean bills that are not deduplicated yet.
+
+    Deduplication keeps a bill of every date that has one with a measure, so the dates are the same. Marking the dates
+    inside the tasks leaves a row per date and task to move.
+    """
+    measures = present(clean, MEASURES)
+    filled = F.coalesce(*[col(name) for name in measures]).isNotNull() if measures else F.lit(True)
+    dates = clean.groupBy(col(STD_DATE), *CALENDAR_PARTS).agg(F.max(filled).alias("_filled")).where("_filled")
+    return build_dim_date(dates.drop("_filled"))
+
+
 def _attributes(staging: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     named = next(iter(columns))
     return staging.where(col(named).isNotNull()).select(

@@ -369,7 +369,7 @@ def distinct_dates(spark, folder):
 
 @_query
 def dim_date(spark, folder):
-    return star.build_dim_date(_staging(spark, folder))
+    return star.dates_of(clean_bills(_bills(spark, folder, BILL_DATE, *MEASURES), SALES_ORDER))
 
 
 @_query
