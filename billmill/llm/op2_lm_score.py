@@ -12,7 +12,8 @@ task and no broadcast holds the whole model, which grows with the corpus.
 
 A null or empty text has no bytes and score 0. Without target rows the target model is the uniform one.
 Rows with one doc_id share their label; a doc_id with several labels is a target if any of them is good.
-Rows without doc_id are never targets. Other columns are ignored.
+Rows without doc_id are never targets. Other columns are ignored. An empty table gives an empty result. A very long
+text is a bucket's content by itself and is worked through in slices, never cut off.
 """
 
 from __future__ import annotations

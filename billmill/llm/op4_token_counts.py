@@ -5,10 +5,10 @@ space). The distinct pre-tokens of a slice of texts form a trie. Level by level,
 node is the best over the vocabulary entries that end there, so pre-tokens with a common prefix share its
 scores; their end nodes hold the token counts. The unigram probability of the entry of rank r is
 proportional to 1 / (r + 1) (Zipf), as costs in whole ten-thousandths, so sums are exact; of equal costs the
-segmentation with fewer tokens counts.
+segmentation with fewer tokens counts. The probabilities are given by the rank; none are fitted.
 
 A null or empty text has no tokens. Each row is counted on its own (no shuffle); equal rows get equal
-results, and other columns are ignored.
+results, and other columns are ignored. An empty table gives an empty result; a very long text is a slice of its own.
 """
 
 from __future__ import annotations

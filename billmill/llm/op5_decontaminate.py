@@ -8,7 +8,8 @@ of all their words instead, for which documents also post all grams of those few
 
 Rows with one doc_id and one text share their result; rows with one doc_id and other texts are separate.
 A null or empty text has no words: nothing hit, not contaminated. Items without words have no window, and
-an item without id is named by the empty string. Other columns are ignored.
+an item without id is named by the empty string. Other columns are ignored. An empty table gives an empty result; a
+very long text is one array of words, read whole.
 """
 
 from __future__ import annotations
