@@ -38,10 +38,20 @@ def number_rows(
     ranges even if an executor is lost, and the counts read one column. The offsets are one row per range, few
     enough to broadcast.
     """
-    spark = df.sparkSession
-    rows, folder = stored_at(df, "unnumbered")
-    ranges = n_ranges(Files(spark).size(folder), range_bytes)
-    settled = F.struct(F.xxhash64(*[col(name) for name in df.columns]), F.monotonically_increasing_id())
+    return number_stored(*stored_at(df, "unnumbered"), order, key, key_type, range_bytes)
+
+
+def number_stored(
+    rows: DataFrame,
+    folder: str,
+    order: Sequence[str],
+    key: str,
+    key_type: str = "bigint",
+    range_bytes: int = RANGE_BYTES,
+) -> DataFrame:
+    """``number_rows`` for rows that a step has stored in ``folder``."""
+    ranges = n_ranges(Files(rows.sparkSession).size(folder), range_bytes)
+    settled = F.struct(F.xxhash64(*[col(name) for name in rows.columns]), F.monotonically_increasing_id())
     by = [*[col(name).asc_nulls_first() for name in order], F.col("_tie").asc()]
     placed = (
         rows.withColumn("_tie", settled)
@@ -62,5 +72,5 @@ def number_rows(
     return (
         placed.join(F.broadcast(offsets), "_range")
         .withColumn("_key", (F.col("_before") + within + 1).cast(key_type))
-        .select(F.col("_key").alias(key), *[col(name) for name in df.columns])
+        .select(F.col("_key").alias(key), *[col(name) for name in rows.columns])
     )

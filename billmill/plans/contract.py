@@ -16,9 +16,9 @@ from billmill.functions.dates import is_weekend
 from billmill.functions.text import col
 from billmill.operators.checks import fit_contract, misfit_report
 from billmill.operators.joins import lookup_key
-from billmill.operators.keys import number_rows
+from billmill.operators.keys import number_rows, number_stored
 from billmill.schema import CHARGES, CONTRACT, STAGED_KWH, STD_DATE
-from billmill.workspace import stored
+from billmill.workspace import stored_at
 
 # Contract attribute -> staging column; None where bills have no such value.
 LOCATION = {"latitude": None, "longitude": None, "borough": "Borough", "zip_code": None}
@@ -187,5 +187,5 @@ def load_fact(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     """
     contract = CONTRACT["fact_electric_consumption"]
     kept = T.StructType([*contract.fields[1:], *[rows.schema[name] for name in order]])
-    joined = stored(fit_contract(rows, kept, strict=True), "fact-rows")
-    return number_rows(joined, order, "fact_key").select(*contract.fieldNames())
+    joined, folder = stored_at(fit_contract(rows, kept, strict=True), "fact-rows")
+    return number_stored(joined, folder, order, "fact_key").select(*contract.fieldNames())
