@@ -6,7 +6,8 @@ loss of a byte b after the four bytes c is -log((n(cb) + S * p(b)) / (n(c) + S))
 p; before a text stand four zero bytes. A document's score is the mean over its bytes of background loss
 minus target loss: higher means more like the target.
 
-Counts come from every document. Texts are dealt into buckets of bounded size; each bucket counts its
+Counts come from every document. Texts are dealt into buckets of bounded size, row by row, so that neither a doc_id
+nor a text that very many rows share makes a bucket larger; each bucket counts its
 distinct n-grams before the shuffle, and gets back the two losses of just these n-grams for scoring. So no
 task and no broadcast holds the whole model, which grows with the corpus.
 
@@ -29,7 +30,6 @@ from billmill.llm.words import field, slices, text_bytes
 ORDER = 5
 SMOOTHING = 8.0
 BUCKET_BYTES = 12 << 20
-SALTS = 8
 _LAST = 0xFF
 
 
@@ -45,35 +45,26 @@ def grams(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bucket(doc_id: Column, salt: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(doc_id, salt), F.lit(buckets)).cast("int")
-
-
-def _bucketed(docs: DataFrame, doc_id: str, text: str, bucket_bytes: int) -> tuple[DataFrame, int]:
-    """doc_id, text and bucket. Rows of one doc_id go to ``SALTS`` buckets by their text, rows without to all."""
+def bucketed(docs: DataFrame, targets: DataFrame, doc_id: str, text: str, bucket_bytes: int) -> DataFrame:
+    """doc_id, text, good (counted for the target model) and bucket, stored: a row's bucket follows from its place in
+    one run of the plan, so both readers must see the same rows."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    mark = F.xxhash64(F.coalesce("text", F.lit("")))
-    salt = F.when(F.col("doc_id").isNull(), mark).otherwise(F.pmod(mark, F.lit(SALTS)))
-    return texts.withColumn("bucket", _bucket(F.col("doc_id"), salt, buckets)), buckets
+    marked = texts.join(targets.withColumn("good", F.lit(True)), "doc_id", "left")
+    bucket = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)).cast("int")
+    return stored(marked.select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"), bucket.alias("bucket")), "bucketed-texts")
 
 
-def bucket_counts(texts: DataFrame, targets: DataFrame, buckets: int) -> DataFrame:
+def bucket_counts(texts: DataFrame) -> DataFrame:
     """bucket, gram, n (background count) and t (target count): one row per n-gram and bucket."""
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    asked = targets.withColumn("salt", salts)
-    asked = asked.select("doc_id", _bucket(F.col("doc_id"), F.col("salt"), buckets).alias("bucket")).distinct()
 
-    def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        good_ids = right["doc_id"].to_numpy()
+    def count(rows: pa.Table) -> pa.Table:
         keys, n, t = [], [], []
-        bucket = 0
-        for batch in slices(iter(left.to_batches()), "text"):
+        bucket = rows["bucket"][0].as_py()
+        for batch in slices(iter(rows.to_batches()), "text"):
             data, at = text_bytes(field(batch, "text"))
-            bucket = field(batch, "bucket")[0].as_py()
-            ids = field(batch, "doc_id")
-            good = np.isin(ids.fill_null(0).to_numpy(), good_ids) & ~ids.is_null().to_numpy(zero_copy_only=False)
+            good = field(batch, "good").to_numpy(zero_copy_only=False)
             found, which = np.unique(grams(data, at), return_inverse=True)
             keys.append(found)
             n.append(np.bincount(which, minlength=len(found)))
@@ -84,11 +75,7 @@ def bucket_counts(texts: DataFrame, targets: DataFrame, buckets: int) -> DataFra
             {"bucket": pa.array(np.full(len(found), bucket, np.int32)), "gram": found, "n": sums[0], "t": sums[1]}
         )
 
-    return (
-        texts.groupBy("bucket")
-        .cogroup(asked.groupBy("bucket"))
-        .applyInArrow(count, "bucket int, gram long, n long, t long")
-    )
+    return texts.groupBy("bucket").applyInArrow(count, "bucket int, gram long, n long, t long")
 
 
 def losses(counts: DataFrame) -> DataFrame:
@@ -127,9 +114,9 @@ def lm_score(
 
     ``targets`` holds the doc_ids that the target model is counted over.
     """
-    texts, buckets = _bucketed(docs, doc_id, text, bucket_bytes)
     targets = targets.select(F.col(targets.columns[0]).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    counts = stored(bucket_counts(texts, targets, buckets), "bucket-counts")
+    texts = bucketed(docs, targets, doc_id, text, bucket_bytes)
+    counts = stored(bucket_counts(texts), "bucket-counts")
     model = stored(losses(counts), "losses")
     needed = counts.select("bucket", "gram").join(model, "gram")
 

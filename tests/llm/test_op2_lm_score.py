@@ -63,3 +63,15 @@ def test_empty_tables(spark, boundary):
     none = spark.createDataFrame([], "doc_id long")
     assert lm_score(boundary.limit(0), none).collect() == []
     assert lm_score(boundary, none).count() == boundary.count()
+
+
+def test_no_bucket_grows_with_a_doc_id_or_a_text(spark):
+    from billmill.llm.op2_lm_score import bucketed
+
+    rows = [(None, "the same text of some length")] * 3000 + [(7, f"text {i} of one id") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    targets = spark.createDataFrame([(7,)], "doc_id long")
+    texts = bucketed(df, targets, "doc_id", "text", 5_000)
+    sizes = [r["count"] for r in texts.groupBy("bucket").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    assert texts.where("good").count() == 3000 and texts.where("doc_id = 7 and not good").count() == 0
