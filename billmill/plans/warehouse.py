@@ -26,6 +26,7 @@ from billmill.schema import (
 from billmill.session import Sizing, sized, tune
 from billmill.sources.bill_files import FILE_ORDER, OrderedExport, first_text, land_raw, read_bills_csv
 from billmill.sources.files import Files
+from billmill.sources.quoted_lines import QuotedLines
 from billmill.sources.tables import Version, create_namespace, publish_together, settle, write_version
 from billmill.workspace import recorded_steps, remove_steps
 
@@ -89,10 +90,10 @@ def sizing(spark: SparkSession, load: Load) -> Sizing:
     return Sizing(load.input_bytes or sum(size for _, size in Files(spark).inputs(load.bills)))
 
 
-def date_format(spark: SparkSession, load: Load) -> str | Sequence[str]:
+def date_format(spark: SparkSession, load: Load, multi_line: bool) -> str | Sequence[str]:
     if load.date_format:
         return load.date_format
-    return date_format_of(spark, first_text(spark, load.bills, BILL_DATE, load.multi_line))
+    return date_format_of(spark, first_text(spark, load.bills, BILL_DATE, multi_line))
 
 
 def load_staging(spark: SparkSession, load: Load, store: _Store) -> tuple[DataFrame, OrderedExport | None]:
@@ -100,8 +101,11 @@ def load_staging(spark: SparkSession, load: Load, store: _Store) -> tuple[DataFr
 
     The bills are parsed once, on their way into the raw copy; all else reads what is written there.
     """
-    shape = date_format(spark, load)
-    bills = read_bills_csv(spark, load.bills, load.multi_line)
+    breaks = load.multi_line
+    if breaks is None:
+        breaks = QuotedLines(spark, load.bills).has_breaks()
+    shape = date_format(spark, load, breaks)
+    bills = read_bills_csv(spark, load.bills, breaks)
     export = None
     with sized(spark, sizing(spark, load)):
         raw = land_raw(mark_bills(bills, shape), f"{load.folder}/raw")
@@ -119,7 +123,11 @@ def load_staging(spark: SparkSession, load: Load, store: _Store) -> tuple[DataFr
         if load.export:
             # The rows of the file keep the order and names of the bills; only tables need other names.
             export = OrderedExport(spark, load.export)
-            export.write(add_metrics(placed), FILE_ORDER)
+            try:
+                export.write(add_metrics(placed), FILE_ORDER)
+            except BaseException:
+                export.discard()
+                raise
     return stored, export
 
 

@@ -115,3 +115,24 @@ def test_counts_of_a_numbering_read_one_column(spark, small):
 
     plan = plan_of(number_rows(spark.read.parquet(f"{small}/orders.parquet"), ["o_orderkey"], "key"))
     assert "ReadSchema: struct<_range:bigint>" in plan and "ExistingRDD" not in plan
+
+
+def test_generated_code_of_marks_is_small_enough(spark, small, capsys):
+    from billmill.operators.clean import mark_bills
+    from billmill.plans.staging import clean_bills, first_bills
+    from billmill.sources.sales_bills import SALES_ORDER, read_sales_bills
+    from billmill.workspace import stored
+
+    marked = mark_bills(stored(read_sales_bills(spark, small), "raw"))
+    kept = first_bills(clean_bills(stored(marked, "marked"), SALES_ORDER), SALES_ORDER)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.codegen.hugeMethodLimit")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        marked.explain("codegen")
+        kept.explain("codegen")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000, sizes
