@@ -58,6 +58,52 @@ def test_breaks_are_looked_for(spark, tmp_path):
     assert sorted(tuple(r)[:2] for r in read_bills_csv(spark, str(tmp_path), multi_line=None).collect()) == [("1", 'x "y"'), ("2", "x\ny")]
 
 
+@pytest.mark.parametrize("size", [60, 400, 1 << 20])
+def test_quotes_inside_plain_cells_open_nothing(spark, tmp_path, block_size, size):
+    """Inches, lost quotes behind a closed cell, and cells of quotes only; some rows with breaks between them."""
+    rng = random.Random(size)
+    cells = ['5" pipe', 'x"y"z', '"closed"rest', ' "late', '"a ""b"""', '""', "plain", "", '"x\ny"', '"""\n"""', '"5"" pipe\n"']
+    rows = [f"{i},{rng.choice(cells)},{rng.choice(cells)}" for i in range(300)]
+    (tmp_path / "a.csv").write_text("a,b,c\n" + "\n".join(rows) + "\n")
+    want = sorted(map(str, spark.read.options(header=True, escape='"', multiLine=True).csv(str(tmp_path)).collect()))
+    block_size(size)
+    found = read_bills_csv(spark, str(tmp_path), multi_line=None)
+    assert sorted(map(str, found.select("a", "b", "c").collect())) == want
+    assert [r.a for r in found.orderBy(*FILE_ORDER).collect()] == [str(i) for i in range(300)]
+    (tmp_path / "a.csv").write_text('a,b,c\n1,5" pipe,x\n2,"x"y",z\n3,7",\n')
+    assert not QuotedLines(spark, str(tmp_path)).has_breaks()
+
+
+def test_states_follow_the_lines():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(1)
+    for _ in range(300):
+        lines = ["".join(rng.choice('",ab') for _ in range(rng.randrange(8))) for _ in range(rng.randrange(1, 12))]
+        functions = quoted_lines.ends_inside(pa.array(lines))
+        for start in (False, True):
+            state, want = start, []
+            for line in lines:
+                at_cell = True
+                i = 0
+                while i < len(line):
+                    c = line[i]
+                    if state:
+                        if c == '"' and line[i + 1 : i + 2] == '"':
+                            i += 1
+                        elif c == '"':
+                            state, at_cell = False, False
+                    elif c == '"' and at_cell:
+                        state = True
+                    else:
+                        at_cell = c == ","
+                    i += 1
+                want.append(state)
+            assert quoted_lines.states(*functions, start).tolist() == want, (lines, start)
+            assert np.array_equal(quoted_lines.ends_inside(pa.array([line if '"' in line else None for line in lines], pa.string())), functions)
+
+
 def test_bad_files_fail(spark, tmp_path, monkeypatch):
     place = tmp_path / "a.csv"
     for text, message in (
