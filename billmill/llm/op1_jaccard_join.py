@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billmill.llm.components import connected_components
-from billmill.llm.steps import stored
+from billmill.llm.steps import settled, stored
 from billmill.llm.words import LOWER, WHITE, Words, field, mix, slices, text_bytes, windows
 
 SHINGLE, PERCENT = 5, 80
@@ -298,20 +298,20 @@ def jaccard_join(
         "reps",
     )
     texts = texts.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    first = verify(bucket_pairs(reps, percent), texts, size, percent)
+    first = settled(lambda: verify(bucket_pairs(reps, percent), texts, size, percent))
     # Several sets of one doc_id are reached together.
     several = named.groupBy("doc_id").agg(F.min("set_a").alias("x"), F.max("set_a").alias("y")).where("x <> y")
     same_id = named.join(several.select("doc_id"), "doc_id").join(sets.drop("n"), ["set_a", "set_b"])
     bridges = same_id.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     links = first.unionByName(bridges)
-    groups = stored(connected_components(links, "a", "b"), "groups")
-    second = verify(group_pairs(marked, reps, groups, percent), texts, size, percent)
+    groups = settled(lambda: stored(connected_components(links, "a", "b"), "groups"))
+    second = settled(lambda: verify(group_pairs(marked, reps, groups, percent), texts, size, percent))
     between = (
         second.join(groups.withColumnsRenamed({"node": "a", "component": "x"}), "a", "left")
         .join(groups.withColumnsRenamed({"node": "b", "component": "y"}), "b", "left")
         .select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
     )
-    merged = stored(connected_components(between, "a", "b"), "merged")
+    merged = settled(lambda: stored(connected_components(between, "a", "b"), "merged"))
     final = sets.join(groups.withColumnsRenamed({"node": "rep", "component": "grp"}), "rep", "left").withColumn(
         "grp", F.coalesce("grp", "rep")
     )

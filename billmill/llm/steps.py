@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from billmill import workspace
@@ -21,3 +23,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         return workspace.stored(df, name)
     finally:
         conf.set(_CLEANUP, before)
+
+
+def settled(build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, without the steps that it has stored on its way and that the result does not read."""
+    with workspace.recorded_steps() as steps:
+        result = build()
+    workspace.remove_steps(result.sparkSession, workspace.unread_steps(result, steps))
+    return result
