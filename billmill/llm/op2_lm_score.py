@@ -51,7 +51,8 @@ def bucketed(docs: DataFrame, targets: DataFrame, doc_id: str, text: str, bucket
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    marked = texts.join(targets.withColumn("good", F.lit(True)), "doc_id", "left")
+    # The targets grow with the corpus: this join shuffles at every size, and splits hot doc_ids.
+    marked = texts.join(targets.withColumn("good", F.lit(True)).hint("merge"), "doc_id", "left")
     bucket = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)).cast("int")
     return stored(marked.select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"), bucket.alias("bucket")), "bucketed-texts")
 
