@@ -11,11 +11,18 @@ from billmill.workspace import stored_at
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number in the lower 33 bits
 RANGE_BYTES = 256 << 20
+RANGE_ROWS = 1 << 20
+# Rows make up to so many ranges (17 billion rows); beyond that the bytes alone do.
+MOST_BY_ROWS = 1 << 14
 
 
-def n_ranges(stored_bytes: int, range_bytes: int = RANGE_BYTES) -> int:
-    """How many ranges a stored table is numbered in: as many as its bytes fill."""
-    return max(1, -(-stored_bytes // range_bytes))
+def n_ranges(stored_bytes: int, range_bytes: int = RANGE_BYTES, rows: int = 0) -> int:
+    """How many ranges a stored table is numbered in: as many as its bytes fill, or its rows if these fill more.
+
+    Columns of few values are stored in next to nothing, but their rows are shuffled and sorted at full width.
+    """
+    by_rows = min(-(-rows // RANGE_ROWS), MOST_BY_ROWS)
+    return max(1, -(-stored_bytes // range_bytes), by_rows)
 
 
 def number_rows(
@@ -29,7 +36,7 @@ def number_rows(
 
     Same numbers as ``row_number()`` over a window without partitions. The rows are stored, split by range and
     sorted in parallel, and each range starts after the rows of the ranges before it. The number of ranges follows
-    from the bytes stored, not from the session's settings. ``order`` should be a total order: then reruns give the
+    from the bytes and rows stored, not from the session's settings. ``order`` should be a total order: then reruns give the
     same keys. Rows that are equal in ``order`` are split over several ranges all the same, by all their columns and
     then by their place in the stored table, so a value that a third of all rows share is no hot range; which of
     such rows comes first is only defined as far as their other columns differ.
@@ -50,7 +57,7 @@ def number_stored(
     range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """``number_rows`` for rows that a step has stored in ``folder``."""
-    ranges = n_ranges(Files(rows.sparkSession).size(folder), range_bytes)
+    ranges = n_ranges(Files(rows.sparkSession).size(folder), range_bytes, rows.count())
     settled = F.struct(F.xxhash64(*[col(name) for name in rows.columns]), F.monotonically_increasing_id())
     by = [*[col(name).asc_nulls_first() for name in order], F.col("_tie").asc()]
     placed = (
