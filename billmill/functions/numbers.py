@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from billmill.functions.text import quoted
 
 INFINITY = float("inf")
-# Spark's cast also takes Java literals (5d, 5f, 0x1p3) and NaN; none of them is a number here.
-_NO_NUMBER = "[dDxX]|[0-9.][fF]|[nN][aA]"
+# Spark's cast also takes Java literals (5d, 5f, 0x1p3) and NaN; none of them is a number here. The signs in texts such
+# as n/a and 1,234 are in none either: the cast would find that out by a Java exception per text.
+_NO_NUMBER = "[dDxX,/#]|[0-9.][fF]|[nN][aA]"
 _SPELLED_OUT = "[nN]"  # inf and infinity hold it, 1e400 does not
 
 

@@ -106,10 +106,10 @@ def _plain(df: DataFrame) -> DataFrame:
 # --- Sources and sinks ---------------------------------------------------------------------------
 
 
-def _csv_folder(spark: SparkSession, folder: str) -> str:
-    """All bills as CSV files, in the order of ``SALES_ORDER``."""
+def _csv_folder(spark: SparkSession, folder: str, ordered: bool = False) -> str:
+    """All bills as CSV files, ``ordered`` by ``SALES_ORDER`` where the places of the rows decide on something."""
     path = new_folder(spark, "bills-csv")
-    write_bills_csv(_bills(spark, folder).orderBy(*SALES_ORDER).drop(*SALES_ORDER), path)
+    write_bills_csv(_plain(read_sales_bills(spark, folder, ordered=ordered)), path)
     return path
 
 
@@ -130,7 +130,7 @@ def land_raw_bills(spark, folder):
 
 @_query
 def dedup_in_file_order(spark, folder):
-    landed = land_raw(read_bills_csv(spark, _csv_folder(spark, folder)), new_folder(spark, "raw"))
+    landed = land_raw(read_bills_csv(spark, _csv_folder(spark, folder, ordered=True)), new_folder(spark, "raw"))
     kept = first_bills(clean_bills(landed))
     return kept.select(STD_DATE, col("Development Name"), col("Meter Number"), col(_BILL_ID), col(CHARGES))
 

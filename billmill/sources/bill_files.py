@@ -27,7 +27,8 @@ def _options(multi_line: bool) -> dict:
 
 def _file_order(path: Column) -> Column:
     """Sorts files by the first number in their names (part-99999 before part-100000), then by their paths."""
-    number = F.regexp_extract(F.regexp_extract(path, "[^/]*$", 0), r"^\D*(\d+)", 1)
+    # Not by a pattern such as [^/]*$, which is tried from every character of the path, for every row.
+    number = F.regexp_extract(F.substring_index(path, "/", -1), r"^\D*(\d+)", 1)
     return F.concat(F.lpad(number, 20, "0"), F.lit(" "), path)
 
 
