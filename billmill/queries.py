@@ -99,6 +99,11 @@ def _staging(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
     return staging_names(_plain(_kept(spark, folder, *extra)))
 
 
+def _star_columns(staging: DataFrame) -> DataFrame:
+    """What the totals by borough and year and their dimensions read of staging."""
+    return staging.select(STD_DATE, *CALENDAR_PARTS, *[col(c) for c in DIM_DEVELOPMENT], col(STAGED_KWH), col(CHARGES))
+
+
 def _plain(df: DataFrame) -> DataFrame:
     return df.drop(*SALES_ORDER)
 
@@ -145,7 +150,7 @@ def sink_csv_roundtrip(spark, folder):
 
 @_query
 def sink_replace_table(spark, folder):
-    staging = stored(_staging(spark, folder, "Borough", "TDS #", "AMP #", "Funding Source", "RC Code"), "staging")
+    staging = stored(_star_columns(_staging(spark, folder, *DIM_DEVELOPMENT)), "staging")
     create_namespace(spark, "billmill_sink", new_folder(spark, "namespace"))
     table, path = "billmill_sink.fact_borough_year_usage", new_folder(spark, "tables")
     star_form = star.usage_by_year_star(
@@ -427,7 +432,8 @@ def join_bill_dates(spark, folder):
 @_query
 def join_development(spark, folder):
     """Bills with the amps of the developments that have one; other developments stay unmatched."""
-    staging = stored(_staging(spark, folder, _BILL_ID, *DIM_DEVELOPMENT), "staging")
+    read = [col(name) for name in (_BILL_ID, "Development Name", "Borough", "TDS #", "AMP #")]
+    staging = stored(_staging(spark, folder, _BILL_ID, *DIM_DEVELOPMENT).select(*read), "staging")
     members = staging.where(col("AMP #") != "Unknown").groupBy(
         *[col(ours).alias(theirs) for ours, theirs in star.DEVELOPMENT_KEY.items()]
     ).agg(F.max("AMP #").alias("last_amp"))
@@ -453,12 +459,7 @@ def fact_borough_year_usage(spark, folder):
 
 @_query
 def fact_borough_year_star(spark, folder):
-    staging = stored(
-        _staging(spark, folder, *DIM_DEVELOPMENT).select(
-            STD_DATE, *CALENDAR_PARTS, *[col(c) for c in DIM_DEVELOPMENT], col(STAGED_KWH), col(CHARGES)
-        ),
-        "staging",
-    )
+    staging = stored(_star_columns(_staging(spark, folder, *DIM_DEVELOPMENT)), "staging")
     dates = stored(star.build_dim_date(staging), "dim-date")
     developments = stored(star.build_dim_development(staging), "dim-development")
     return star.usage_by_year_star(staging, dates, developments)
@@ -494,7 +495,10 @@ def high_usage_flag(spark, folder):
 @_query
 def stage_row_counts(spark, folder):
     raw = stored(clean.mark_bills(_bills(spark, folder)), "raw")
-    return stage_counts(raw, stored(build_staging(raw, SALES_ORDER), "staging"), SALES_ORDER)
+    # Staged rows are counted: the columns that decide which bills stay are enough.
+    read = [BILL_DATE, "Development Name", "Meter Number", *MEASURES, *clean.marks(raw), *SALES_ORDER]
+    staged = build_staging(raw.select(*[col(name) for name in read]), SALES_ORDER)
+    return stage_counts(raw, stored(staged, "staging"), SALES_ORDER)
 
 
 # --- Previews ----------------------------------------------------------------------------------------
