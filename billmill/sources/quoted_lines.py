@@ -6,9 +6,9 @@ which one is true. (A quote opens a cell only as its first character, so countin
 1. Per block of a file: how the block ends after either beginning, and which line has opened the row that is open then.
 2. A running composition over the blocks of a file, one short row per block, says which blocks begin inside quotes and
    in which earlier block that row was opened.
-3. Each task walks through its lines from the true state: rows of one line go on as they are, lines of longer rows
-   carry the place of the line that opened them.
-4. Only these lines are shuffled, and put together to rows.
+3. Each task walks through its lines from the true state: rows that begin and end in the same batch of lines go on whole,
+   other lines carry the place of the line that opened their row.
+4. Only these lines, at the edges of batches and blocks, are shuffled, and put together to rows.
 """
 
 from __future__ import annotations
@@ -139,10 +139,29 @@ class _Walk:
             filled = np.flatnonzero(pc.match_substring_regex(texts, r"\S").to_numpy(zero_copy_only=False))
             if len(filled):
                 is_header[filled[0]] = self.header = True
-        columns = [pa.array([self.file] * n, pa.string()), np.full(n, self.block), first + np.arange(n), is_header, opened, nth, texts]
+        keep, texts = self._join_rows(before, after, opened, nth, texts)
+        columns = [
+            pa.repeat(pa.scalar(self.file, pa.string()), len(keep)), np.full(len(keep), self.block),
+            first + keep, is_header[keep], opened[keep], nth[keep], texts,
+        ]
         names = [part.split()[0] for part in _LINES.split(", ")]
         return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
+    @staticmethod
+    def _join_rows(before, after, opened, nth, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """The lines to go on with and their texts: rows that begin and end among these lines are one line from here."""
+        n, starts = len(texts), np.flatnonzero(~before)
+        low = int(starts[0]) if len(starts) else n
+        high = int(starts[-1]) if len(starts) and after[-1] else n
+        rows = starts[starts < high]
+        keep = np.concatenate([np.arange(low), rows, np.arange(high, n)])
+        if len(keep) == n:
+            return keep, texts
+        opened[rows] = nth[rows] = -1
+        offsets = pa.array(np.append(rows, high) - low, pa.int32())
+        joined = pc.binary_join(pa.ListArray.from_arrays(offsets, texts.slice(low, high - low)), "\n")
+        return keep, pa.concat_arrays([texts.slice(0, low), joined, texts.slice(high)])
+
     def _refuse_long(self, whole: np.ndarray, nth: np.ndarray) -> None:
         edges = np.flatnonzero(np.concatenate([[True], nth[1:] != nth[:-1], [True]]))
         for low, high in zip(edges.tolist(), edges[1:].tolist()):
