@@ -113,7 +113,7 @@ def _plain(df: DataFrame) -> DataFrame:
 
 def _csv_folder(spark: SparkSession, folder: str, ordered: bool = False) -> str:
     """All bills as CSV files, ``ordered`` by ``SALES_ORDER`` where the places of the rows decide on something."""
-    path = new_folder(spark, "bills-csv")
+    path = new_folder(spark, "bills-csv") + ".gz"
     write_bills_csv(_plain(read_sales_bills(spark, folder, ordered=ordered)), path)
     return path
 
@@ -127,7 +127,7 @@ def scan_csv_bills(spark, folder):
 @_named("land_raw")
 def land_raw_bills(spark, folder):
     landed = land_raw(read_bills_csv(spark, _csv_folder(spark, folder)), new_folder(spark, "raw"))
-    has_source = F.col("_source_file").endswith(".csv") & (F.col("_source_row") >= 0)
+    has_source = F.col("_source_file").endswith(".csv.gz") & (F.col("_source_row") >= 0)
     return landed.select(
         *[col(name) for name in [BILL_DATE, *DIMENSIONS, *MEASURES]], has_source.alias("has_source")
     )

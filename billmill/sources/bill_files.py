@@ -14,6 +14,7 @@ from billmill.functions.numbers import parse_numbers
 from billmill.functions.text import col, null_if_na
 from billmill.sources.files import Files
 from billmill.sources.quoted_lines import QuotedLines
+from billmill.workspace import shuffles_released
 
 # Where a row stands in its input: read once at the scan, kept with the row from then on.
 FILE_ORDER = ("_source_file", "_source_block", "_source_row")
@@ -130,7 +131,8 @@ def land_raw(bills: DataFrame, folder: str) -> DataFrame:
     Each copy is a new version below ``folder``: an earlier one stays until it is removed on purpose.
     """
     version = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
-    bills.write.parquet(version)
+    with shuffles_released(bills.sparkSession):
+        bills.write.option("compression", "zstd").parquet(version)
     return bills.sparkSession.read.schema(bills.schema).parquet(version)
 
 
@@ -161,9 +163,18 @@ _CSV_OUT = {
 }
 
 
+# A compressed file is read by one task, so none holds more rows than a task reads within seconds.
+_PACKED = {"compression": "gzip", "maxRecordsPerFile": 1 << 20}
+
+
 def write_bills_csv(df: DataFrame, folder: str) -> None:
-    """Export with a header. NULL is an empty cell, infinite numbers are ``inf`` and ``-inf``."""
-    _csv_cells(df).write.mode("overwrite").options(**_CSV_OUT).csv(folder)
+    """Export with a header. NULL is an empty cell, infinite numbers are ``inf`` and ``-inf``.
+
+    Files in a folder named ``….gz`` are compressed, to about a fifth of the text; rows and their order stay the same.
+    """
+    options = _CSV_OUT | (_PACKED if folder.rstrip("/").endswith(".gz") else {})
+    with shuffles_released(df.sparkSession):
+        _csv_cells(df).write.mode("overwrite").options(**options).csv(folder)
 
 
 class OrderedExport:
