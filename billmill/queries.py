@@ -51,7 +51,7 @@ from billmill.sources.bill_files import (
 )
 from billmill.sources.sales_bills import SALES_ORDER, read_sales_bills
 from billmill.sources.tables import create_namespace, replace_table, use_namespace, write_version
-from billmill.workspace import new_folder, stored
+from billmill.workspace import new_folder, recorded_steps, remove_steps, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -114,7 +114,9 @@ def _plain(df: DataFrame) -> DataFrame:
 def _csv_folder(spark: SparkSession, folder: str, ordered: bool = False) -> str:
     """All bills as CSV files, ``ordered`` by ``SALES_ORDER`` where the places of the rows decide on something."""
     path = new_folder(spark, "bills-csv") + ".gz"
-    write_bills_csv(_plain(read_sales_bills(spark, folder, ordered=ordered)), path)
+    with recorded_steps() as steps:
+        write_bills_csv(_plain(read_sales_bills(spark, folder, ordered=ordered)), path)
+    remove_steps(spark, steps)
     return path
 
 

@@ -6,12 +6,14 @@ members, no-value tokens, numbers with thousands separators, bills without any m
 
 from __future__ import annotations
 
+import re
 from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billmill.schema import BILL_DATE, DIMENSIONS, MEASURES
+from billmill.workspace import stored
 
 # A total order of the line items: it takes the place of the order of rows in a file.
 SALES_ORDER = (
@@ -70,6 +72,12 @@ def _cell(name: str) -> Column:
     return F.expr(rule).alias(name)
 
 
+def _read_by(names: Collection[str]) -> list[str]:
+    """The columns of the sales tables that the cells and the order of bills are made of."""
+    found = {column for name in names for column in re.findall(r"\b[a-z]_[a-z]+\b", _CELLS[name])}
+    return sorted(found | set(_ORDER_COLUMNS))
+
+
 _FROM_PART = {"Location", "Rate Class"}
 _FROM_CUSTOMER = {"Account Name", "Vendor Name"}
 _FROM_ORDERS = _FROM_CUSTOMER | {"Funding Source"}
@@ -88,7 +96,8 @@ def read_sales_bills(
     grow with the line items, so that join shuffles both sides at every size: small tables show the plan
     that large ones run. Parts come before them, as they grow too: the names of suppliers and customers do not
     move with the line items to meet the parts. Sorting comes before the cells are made, so that the texts are made
-    once (the ranges of a sort are sampled) and do not move.
+    once and do not move, and behind a step, so that the shuffles of the joins are gone before the sort adds its own
+    and its ranges are sampled from the step.
     """
     wanted = [BILL_DATE, *DIMENSIONS, *MEASURES]
     if columns is not None:
@@ -112,7 +121,7 @@ def read_sales_bills(
         if "Borough" in need:
             lines = lines.join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     if ordered:
-        lines = lines.orderBy(*_ORDER_COLUMNS)
+        lines = stored(lines.select(*_read_by(wanted)), "line-items").orderBy(*_ORDER_COLUMNS)
     return lines.select(
         *[_cell(name) for name in wanted],
         *[F.col(source).alias(name) for source, name in zip(_ORDER_COLUMNS, SALES_ORDER)],

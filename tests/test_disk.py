@@ -10,13 +10,21 @@ from pyspark.sql import functions as F
 from billmill import queries, workspace
 from billmill.sources import bill_files
 from billmill.sources.bill_files import FILE_ORDER, land_raw, read_bills_csv, write_bills_csv
-from billmill.workspace import stored
+from billmill.workspace import shared_folder, stored
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def names_below(folder, end):
     return [name for _, _, names in os.walk(folder) for name in names if name.endswith(end)]
 
 
+def steps(spark, name):
+    return {entry for entry in os.listdir(shared_folder(spark).removeprefix("file:")) if entry.startswith(f"{name}-")}
+
+
 def shuffle_files(spark):
     files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
     return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
@@ -59,3 +67,12 @@ def test_packed_files_are_bounded_and_keep_their_order(spark, tmp_path, monkeypa
     assert len(names_below(tmp_path / "csv.gz", ".csv.gz")) == 18
     rows = read_bills_csv(spark, str(tmp_path / "csv.gz")).orderBy(*FILE_ORDER).collect()
     assert [(int(r.id), r.text) for r in rows] == [(i, 'say "a", b') for i in range(5000)]
+
+
+def test_bills_are_sorted_from_a_step_that_goes(spark, small, monkeypatch):
+    before, written = steps(spark, "line-items"), []
+    monkeypatch.setattr(queries, "write_bills_csv", lambda df, path, f=queries.write_bills_csv: written.append(df) or f(df, path))
+    queries.registered()["dedup_in_file_order"](spark, small)
+    plan = plan_of(written[0])
+    assert "Sort [" in plan and "Join" not in plan  # the shuffles of the joins are gone when the sort begins
+    assert steps(spark, "line-items") == before
