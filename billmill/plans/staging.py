@@ -26,7 +26,7 @@ from billmill.operators.clean import (
     present,
     read_marks,
 )
-from billmill.operators.dedup import keep_first
+from billmill.operators.dedup import PLACE, keep_first, rows_at
 from billmill.operators.median import exact_median, flag_above
 from billmill.schema import BILL_DATE, DIMENSIONS, DUPLICATE_KEYS, KWH, MEASURES, STAGING_RENAMES, STD_DATE
 from billmill.sources.bill_files import FILE_ORDER
@@ -99,8 +99,17 @@ def add_metrics(bills: DataFrame) -> DataFrame:
 def staged_bills(
     raw: DataFrame, order: Sequence[str] = FILE_ORDER, date_format: str | Sequence[str] = DATE_FORMAT
 ) -> DataFrame:
-    """The stored first bills, with their place in ``order``. Marked bills are read as they are."""
-    return stored(clean_bills(raw, order, date_format).transform(first_bills, order), "first-bills")
+    """The stored first bills, with their place in ``order``. Marked bills are read as they are.
+
+    Bills of a placed step (``place_rows``) stay where they are: what decides on them is read alone and moves, and the
+    other columns are read of the bills that stay.
+    """
+    if PLACE not in raw.columns:
+        return stored(clean_bills(raw, order, date_format).transform(first_bills, order), "first-bills")
+    read = [*present(raw, [BILL_DATE, *DUPLICATE_KEYS, *MEASURES]), *marks(raw), *order, PLACE]
+    deciding = clean_bills(raw.select(*[col(name) for name in dict.fromkeys(read)]), order, date_format)
+    kept = rows_at(raw, first_bills(deciding, order).select(PLACE))
+    return stored(clean_bills(kept, order, date_format), "first-bills")
 
 
 def build_staging(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from billmill.functions.dates import date_key
 from billmill.functions.text import col
 from billmill.operators import checks, clean
+from billmill.operators.dedup import place_rows
 from billmill.operators.joins import join_bill_date, join_members
 from billmill.operators.keys import number_rows
 from billmill.operators.median import exact_median
@@ -217,7 +218,7 @@ def export_in_order(spark, folder):
 
 @_named("build_staging")
 def build_staging_table(spark, folder):
-    raw = stored(_bills(spark, folder), "raw")
+    raw = stored(place_rows(_bills(spark, folder)), "raw")
     return staging_names(build_staging(raw, SALES_ORDER))
 
 

@@ -5,11 +5,16 @@ from __future__ import annotations
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from billmill import queries, workspace
+from billmill.operators import dedup
+from billmill.operators.dedup import PLACE, place_rows, rows_at
+from billmill.plans import staging
 from billmill.sources import bill_files
 from billmill.sources.bill_files import FILE_ORDER, land_raw, read_bills_csv, write_bills_csv
+from billmill.sources.sales_bills import SALES_ORDER, read_sales_bills
 from billmill.workspace import shared_folder, stored
 
 
@@ -76,3 +81,38 @@ def test_bills_are_sorted_from_a_step_that_goes(spark, small, monkeypatch):
     plan = plan_of(written[0])
     assert "Sort [" in plan and "Join" not in plan  # the shuffles of the joins are gone when the sort begins
     assert steps(spark, "line-items") == before
+
+
+@pytest.mark.parametrize("sent", [1 << 17, 0])
+def test_rows_at_places(spark, monkeypatch, sent):
+    monkeypatch.setattr(dedup, "MOST_SENT", sent)
+    wide = stored(place_rows(spark.range(0, 30_000, 1, 3).select("id", F.lit(None).cast("string").alias("none"))), "wide")
+    places = wide.where("id % 7 = 3 or id between 12000 and 13000 or id in (0, 29999)").select(PLACE)
+    for asked in (places, places.unionAll(places), wide.select(PLACE), wide.select(PLACE).limit(0)):
+        got = rows_at(wide, asked)
+        assert got.columns == ["id", "none"]
+        want = wide.join(asked.distinct(), PLACE, "left_semi")
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect())
+
+
+def test_wide_bills_stay_in_their_tasks(spark, small, monkeypatch):
+    noted = []
+    monkeypatch.setattr(staging, "stored", lambda df, name: noted.append(df) or stored(df, name))
+    raw = read_sales_bills(spark, small)
+    moved = staging.build_staging(stored(raw, "raw"), SALES_ORDER)
+    placed = staging.build_staging(stored(place_rows(raw), "raw"), SALES_ORDER)
+    old, new = (df._jdf.queryExecution().executedPlan().toString() for df in noted)
+    assert "Exchange hashpartitioning" in old and "Exchange hashpartitioning" not in new
+    assert placed.schema == moved.schema
+    assert sorted(map(str, placed.collect())) == sorted(map(str, moved.collect()))
+
+
+def test_placed_bills_that_are_marked_or_lack_columns(spark, small):
+    from billmill.operators.clean import mark_bills
+
+    bills = read_sales_bills(spark, small)
+    for raw in (mark_bills(bills), bills.drop("Meter Number", "Development Name"), bills.drop(*queries.MEASURES)):
+        moved = staging.build_staging(stored(raw, "raw"), SALES_ORDER)
+        placed = staging.build_staging(stored(place_rows(raw), "raw"), SALES_ORDER)
+        assert placed.schema == moved.schema
+        assert sorted(map(str, placed.collect())) == sorted(map(str, moved.collect()))
