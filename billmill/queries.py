@@ -52,7 +52,7 @@ from billmill.sources.bill_files import (
 )
 from billmill.sources.sales_bills import SALES_ORDER, read_sales_bills
 from billmill.sources.tables import create_namespace, replace_table, use_namespace, write_version
-from billmill.workspace import new_folder, recorded_steps, remove_steps, stored
+from billmill.workspace import new_folder, recorded_steps, remove_steps, stored, unread_steps
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -145,8 +145,11 @@ def dedup_in_file_order(spark, folder):
 
 @_query
 def sink_csv_roundtrip(spark, folder):
-    staging = build_staging(_bills(spark, folder), SALES_ORDER)
-    path = new_folder(spark, "staging-csv")
+    with recorded_steps() as steps:
+        raw = stored(place_rows(_bills(spark, folder)), "raw")
+        staging = build_staging(raw, SALES_ORDER)
+    remove_steps(spark, unread_steps(staging, steps))
+    path = new_folder(spark, "staging-csv") + ".gz"
     write_bills_csv(staging, path)
     return read_typed_csv(spark, path, staging.schema)
 

@@ -116,3 +116,13 @@ def test_placed_bills_that_are_marked_or_lack_columns(spark, small):
         placed = staging.build_staging(stored(place_rows(raw), "raw"), SALES_ORDER)
         assert placed.schema == moved.schema
         assert sorted(map(str, placed.collect())) == sorted(map(str, moved.collect()))
+
+
+def test_queries_stage_placed_bills(spark, small, monkeypatch):
+    found = []
+    monkeypatch.setattr(queries, "build_staging", lambda raw, order, f=queries.build_staging: found.append(raw.columns) or f(raw, order))
+    before = steps(spark, "raw")
+    queries.registered()["sink_csv_roundtrip"](spark, small)
+    assert steps(spark, "raw") == before  # gone before the export is written
+    queries.registered()["build_staging"](spark, small)
+    assert len(found) == 2 and all(PLACE in columns for columns in found)
